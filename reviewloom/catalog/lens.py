@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reviewloom.schemas import KEY, PARTITION
 
+_layouts: dict[str, StructType] = {}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table. Its layout is inferred once; later scans start without that job."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _layouts:
+        _layouts[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_layouts[path]).parquet(path)
 
 
 def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,10 +61,24 @@ def checked_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 def snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Events as daily snapshots: each user's last event of each day."""
+    return _snapshots(table(spark, folder, "events"))
+
+
+def new_and_earlier(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Snapshots of the last day in the data, and those of all days before."""
+    events = table(spark, folder, "events")
+    days = _snapshots(events)
+    last_day = events.agg(F.to_date(F.max("ts"))).scalar()
+    return (
+        days.filter(F.col(PARTITION) == last_day).drop(PARTITION),
+        days.filter(F.col(PARTITION) < last_day),
+    )
+
+
+def _snapshots(events: DataFrame) -> DataFrame:
     last = F.max(F.struct("event_id", "event_type", "props", "value"))
     return (
-        table(spark, folder, "events")
-        .groupBy("user_id", F.to_date("ts").alias(PARTITION))
+        events.groupBy("user_id", F.to_date("ts").alias(PARTITION))
         .agg(last.alias("last"))
         .select(
             F.col("user_id").cast("string").alias(KEY),
@@ -72,19 +93,3 @@ def snapshots(spark: SparkSession, folder: str) -> DataFrame:
             PARTITION,
         )
     )
-
-
-def _last_day(spark: SparkSession, folder: str):
-    return table(spark, folder, "events").agg(F.to_date(F.max("ts"))).scalar()
-
-
-def new_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """Snapshots of the last day in the data."""
-    frame = snapshots(spark, folder)
-    return frame.filter(F.col(PARTITION) == _last_day(spark, folder)).drop(PARTITION)
-
-
-def earlier(spark: SparkSession, folder: str) -> DataFrame:
-    """Snapshots of all days before."""
-    frame = snapshots(spark, folder)
-    return frame.filter(F.col(PARTITION) < _last_day(spark, folder))

@@ -166,11 +166,12 @@ def conform_schema(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     columns = ("id", "title", "im_rating")
-    new = lens.new_batch(spark, folder).select(*columns)
-    old = lens.earlier(spark, folder).select(
-        *columns, F.col(schemas.PARTITION).cast("string").alias(schemas.PARTITION)
+    new, old = lens.new_and_earlier(spark, folder)
+    odate = F.col(schemas.PARTITION).cast("string").alias(schemas.PARTITION)
+    return (
+        joins.prefixed(new.select(*columns), "new", "id"),
+        joins.prefixed(old.select(*columns, odate), "old", "id"),
     )
-    return joins.prefixed(new, "new", "id"), joins.prefixed(old, "old", "id")
 
 
 def _outer_columns(pairs: DataFrame) -> DataFrame:
@@ -214,15 +215,16 @@ def salted_join(spark: SparkSession, folder: str) -> DataFrame:
     events = lens.table(spark, folder, "events").select(
         "event_id", F.col("user_id").cast("string").alias("id")
     )
-    new = lens.new_batch(spark, folder).select("id", "title")
+    new, _ = lens.new_and_earlier(spark, folder)
+    new = new.select("id", "title")
     return joins.salted_join(events, new, "id").select("event_id", "id", "title")
 
 
 @query
 def change_flags(spark: SparkSession, folder: str) -> DataFrame:
-    new = joins.prefixed(lens.new_batch(spark, folder), "new", "id")
-    old = joins.prefixed(lens.earlier(spark, folder), "old", "id")
-    return new.join(old, "id").select(
+    new, old = lens.new_and_earlier(spark, folder)
+    pairs = joins.prefixed(new, "new", "id").join(joins.prefixed(old, "old", "id"), "id")
+    return pairs.select(
         "id",
         F.col("old_odate").cast("string").alias("odate"),
         merge.change_label().alias("changed"),
@@ -238,23 +240,21 @@ def _change_columns(changes: DataFrame) -> DataFrame:
 
 @query
 def change_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return _change_columns(
-        merge.change_rows(lens.new_batch(spark, folder), lens.earlier(spark, folder))
-    )
+    return _change_columns(merge.change_rows(*lens.new_and_earlier(spark, folder)))
 
 
 @query
 def change_rows_broadcast(spark: SparkSession, folder: str) -> DataFrame:
-    new = lens.new_batch(spark, folder)
+    new, old = lens.new_and_earlier(spark, folder)
     small = sizing.is_small(new.select(schemas.KEY, *schemas.TRACKED))
-    return _change_columns(merge.change_rows(new, lens.earlier(spark, folder), small))
+    return _change_columns(merge.change_rows(new, old, small))
 
 
 @query
 def change_history(spark: SparkSession, folder: str) -> DataFrame:
-    new = lens.new_batch(spark, folder)
+    new, old = lens.new_and_earlier(spark, folder)
     small = sizing.is_small(new.select(schemas.KEY, *schemas.TRACKED))
-    nested = merge.nest_changes(merge.change_rows(new, lens.earlier(spark, folder), small))
+    nested = merge.nest_changes(merge.change_rows(new, old, small))
     return nested.select(
         "id",
         merge.entries_text(F.col("historical_data")).alias("history"),
@@ -264,7 +264,8 @@ def change_history(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return merge.latest_rows(lens.earlier(spark, folder)).select(
+    _, old = lens.new_and_earlier(spark, folder)
+    return merge.latest_rows(old).select(
         "id", "title", "content", "im_rating", "updated"
     )
 
@@ -274,13 +275,13 @@ _CURRENT = ("id", "name_client", "title", "content", "im_rating", "updated")
 
 @query
 def current_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    latest = merge.latest_rows(lens.earlier(spark, folder))
-    return merge.current_snapshot(lens.new_batch(spark, folder), latest).select(*_CURRENT)
+    new, old = lens.new_and_earlier(spark, folder)
+    return merge.current_snapshot(new, merge.latest_rows(old)).select(*_CURRENT)
 
 
 @query
 def snapshot_merge(spark: SparkSession, folder: str) -> DataFrame:
-    merged = merge.merge_snapshots(lens.new_batch(spark, folder), lens.earlier(spark, folder))
+    merged = merge.merge_snapshots(*lens.new_and_earlier(spark, folder))
     return merged.current.select(
         *_CURRENT, merge.entries_text(F.col("historical_data")).alias("history")
     )

@@ -130,19 +130,22 @@ def nest_changes(changes: DataFrame) -> DataFrame:
     return changes.groupBy(KEY).agg(entries.alias("historical_data"))
 
 
-def fill_from_old(pairs: DataFrame) -> DataFrame:
-    """New values, old ones where the new are null or the id is old only."""
-    return pairs.select(
-        KEY, *(F.coalesce(f"new_{name}", f"old_{name}").alias(name) for name in _CARRIED)
-    )
-
+def current_snapshot(
+    new: DataFrame, latest: DataFrame, nested: DataFrame | None = None
+) -> DataFrame:
+    """One row per id of either side: new values, old ones where the new are null.
 
-def current_snapshot(new: DataFrame, latest: DataFrame) -> DataFrame:
-    """One row per id of either side. Both sides have one row per id."""
-    pairs = joins.prefixed(new.select(*REVIEW_FIELDS), "new", KEY).join(
-        joins.prefixed(latest.select(*REVIEW_FIELDS), "old", KEY), KEY, "full_outer"
-    )
-    return fill_from_old(pairs)
+    Every input has one row per id. ``nested`` is attached to the new rows, the
+    only ones that can have replaced something, before the outer join: the
+    frames are then all partitioned by id and are shuffled once.
+    """
+    batch = joins.prefixed(new.select(*REVIEW_FIELDS), "new", KEY)
+    columns = [F.coalesce(f"new_{name}", f"old_{name}").alias(name) for name in _CARRIED]
+    if nested is not None:
+        batch = batch.join(nested, KEY, "left")
+        columns.append(F.col("historical_data"))
+    old = joins.prefixed(latest.select(*REVIEW_FIELDS), "old", KEY)
+    return batch.join(old, KEY, "full_outer").select(KEY, *columns)
 
 
 def merge_snapshots(
@@ -161,19 +164,20 @@ def merge_snapshots(
     """
     if tally is None:
         tally = tally_history(history)
+    latest = latest_rows(since_all_newest(history, tally) if prune else history)
     small = sizing.is_small(new.select(KEY, *TRACKED), broadcast_limit)
+    if not small and sizing.is_small(new.select(KEY), broadcast_limit):
+        # the ids alone can be sent to the history: others are not shuffled
+        history = history.join(F.broadcast(new.select(KEY)), KEY, "left_semi")
     overlong = tally.filter(F.col("n") > nest_limit).select(KEY, F.lit(True).alias("overlong"))
-    snapshot = current_snapshot(
-        new, latest_rows(since_all_newest(history, tally) if prune else history)
-    )
     counted = tally.select(KEY, "n")
     if overlong.isEmpty():
-        changes = change_rows(new, history, small, counted)
-        return Merged(_with_history(snapshot, nest_changes(changes)), None)
+        nested = nest_changes(change_rows(new, history, small, counted))
+        return Merged(_without_gaps(current_snapshot(new, latest, nested)), None)
     flagged = new.join(overlong, KEY, "left")
     changes = change_rows(flagged, history, small, counted, extra=("overlong",))
     nested = nest_changes(changes.filter(F.col("overlong").isNull()))
-    current = _with_history(snapshot, nested).join(
+    current = _without_gaps(current_snapshot(new, latest, nested)).join(
         flagged.filter("overlong").select(KEY, "overlong"), KEY, "left"
     )
     return Merged(
@@ -184,11 +188,10 @@ def merge_snapshots(
     )
 
 
-def _with_history(snapshot: DataFrame, nested: DataFrame) -> DataFrame:
-    none = F.array().cast(nested.schema["historical_data"].dataType)
-    return snapshot.join(nested, KEY, "left").withColumn(
-        "historical_data", F.coalesce("historical_data", none)
-    )
+def _without_gaps(snapshot: DataFrame) -> DataFrame:
+    """An empty history instead of a null one."""
+    none = F.array().cast(snapshot.schema["historical_data"].dataType)
+    return snapshot.withColumn("historical_data", F.coalesce("historical_data", none))
 
 
 def entries_text(history: Column) -> Column:

@@ -130,27 +130,26 @@ def quality_counts(
     required: Sequence[str] = REQUIRED,
     critical: Sequence[str] = CRITICAL,
     rating: str = "im_rating",
+    keys_unique: bool = False,
 ) -> DataFrame:
     """All counters of the checks as one row.
 
     Flags are counted per key first, so one pass and one narrow shuffle give the
-    duplicate counters together with the others.
+    duplicate counters together with the others. Where keys are known to be
+    unique, not even that shuffle is needed.
     """
-    per_key = (
-        frame.select(
-            F.col(key).alias("key"),
-            is_complete(required).alias("complete"),
-            bad_rating(rating).alias("bad"),
-            *(F.col(name).isNull().alias(f"null_{name}") for name in critical),
-        )
-        .groupBy("key")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if("complete").alias("complete"),
-            F.count_if("bad").alias("bad"),
-            *(F.count_if(f"null_{name}").alias(f"null_{name}") for name in critical),
-        )
+    flags = {
+        "n": F.lit(True),
+        "complete": is_complete(required),
+        "bad": bad_rating(rating),
+        **{f"null_{name}": F.col(name).isNull() for name in critical},
+    }
+    per_key = frame.select(
+        F.col(key).alias("key"),
+        *(flag.cast("bigint").alias(name) for name, flag in flags.items()),
     )
+    if not keys_unique:
+        per_key = per_key.groupBy("key").agg(*(F.sum(name).alias(name) for name in flags))
     keyed = F.col("key").isNotNull()
 
     def total(value: Column) -> Column:

@@ -67,7 +67,7 @@ def _run_counts(spark: SparkSession, batch: DataFrame, current: DataFrame) -> Da
     Keys are checked on the batch, where they can still repeat; content is
     checked on the merged rows. Two one-row aggregates are fetched.
     """
-    merged = quality.quality_counts(current).first().asDict()
+    merged = quality.quality_counts(current, keys_unique=True).first().asDict()
     keys = (
         batch.groupBy(schemas.KEY)
         .agg(F.count(F.lit(1)).alias("n"))

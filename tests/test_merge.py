@@ -44,9 +44,10 @@ def entry(**values):
     return tuple(full[name] for name in schemas.PAYLOAD)
 
 
-@pytest.fixture(params=[True, False], ids=["broadcast", "salted"])
+@pytest.fixture(params=["broadcast", "broadcast ids", "salted"])
 def limit(request):
-    return 50_000_000 if request.param else -1
+    """Sizes that lead to each way of joining, for batches of short ids."""
+    return {"broadcast": 50_000_000, "broadcast ids": 100, "salted": -1}[request.param]
 
 
 def test_changes_of_each_tracked_field(spark, limit):
