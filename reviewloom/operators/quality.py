@@ -107,10 +107,10 @@ def quarantine(
 def except_rows(frame: DataFrame, rejected: DataFrame) -> DataFrame:
     """Distinct rows of ``frame`` that are not in ``rejected``; nulls compare equal.
 
-    This shuffles whole rows. Where keys are unique, ``valid_rows`` gives the
-    same without.
+    This shuffles whole rows, copies of a row once per task. Where keys are
+    unique, ``valid_rows`` gives the same without.
     """
-    return frame.select(*rejected.columns).subtract(rejected)
+    return frame.select(*rejected.columns).distinct().subtract(rejected.distinct())
 
 
 def null_counts(frame: DataFrame, columns: Sequence[str] = CRITICAL) -> DataFrame:
