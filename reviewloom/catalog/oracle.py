@@ -293,6 +293,32 @@ FROM lineitem GROUP BY 1""",
     "frame_bytes": """
 SELECT CAST(sum(strlen(CAST(doc_id AS VARCHAR)) + strlen(text) + strlen(lang) + strlen(source)
        + strlen(CAST(n_chars AS VARCHAR))) AS BIGINT) AS bytes FROM documents""",
+    "daily_run": """
+WITH docs AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, n_chars % 7 = 0 AS anonymous,
+         CASE lang WHEN 'en' THEN 'pf' ELSE 'pj' END AS segmento,
+         CAST(n_chars % 5 + 1 AS VARCHAR) AS rating, doc_id
+  FROM documents
+),
+labelled AS (
+  SELECT d.id, d.anonymous, d.segmento, l.toxic, CAST(l.quality + 1 AS VARCHAR) AS rating
+  FROM docs d JOIN labels l ON d.doc_id = l.doc_id
+),
+first_day AS (SELECT id, segmento, rating FROM docs WHERE NOT anonymous),
+second_day AS (SELECT * FROM labelled WHERE toxic = 0),
+merged AS (
+  SELECT id, coalesce(n.segmento, o.segmento) AS segmento, coalesce(n.rating, o.rating) AS rating,
+         CASE WHEN n.rating <> o.rating THEN o.rating ELSE '' END AS history,
+         o.id IS NULL AND n.anonymous AS incomplete
+  FROM second_day n FULL JOIN first_day o USING (id)
+)
+SELECT id, 'docs_' || segmento AS app, segmento, rating AS im_rating, history,
+       CASE WHEN incomplete THEN 'null name_client' ELSE 'valid' END AS reasons
+FROM merged
+UNION ALL
+SELECT id, 'docs_' || segmento, segmento, rating, '',
+       CASE WHEN anonymous THEN 'null name_client,duplicate key' ELSE 'duplicate key' END
+FROM labelled, range(2) WHERE toxic = 1""",
     "partition_roundtrip": """
 SELECT event_id, user_id, event_type,
        CASE WHEN CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)

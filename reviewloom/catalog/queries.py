@@ -6,6 +6,7 @@ Results hold plain columns only: arrays come as joined text, dates as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from reviewloom.catalog import lens
 from reviewloom.functions import formats, paths, text
 from reviewloom.operators import joins, merge, quality, sizing
 from reviewloom.operators.standardize import conform, standardize_reviews
+from reviewloom.plans import daily_run as daily
 from reviewloom.plans import documents, stage_metrics
+from reviewloom.plans.config import RunConfig
 from reviewloom.sinks import metrics, partitions
 from reviewloom.sources import bronze, history, parquet
 
@@ -521,7 +524,58 @@ def stage_metrics_of_tasks(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["stage_metrics"] = QUERIES.pop("stage_metrics_of_tasks")
 
 
-# Sinks -----------------------------------------------------------------------
+# Sinks and the whole run -----------------------------------------------------
+
+
+@query
+def daily_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two load dates run end to end; silver and quarantine of the second.
+
+    The first day has all documents, some without an author. The second has the
+    labelled ones with the label as rating, toxic ones twice.
+    """
+    lake = session.scratch_folder(spark)
+    config = RunConfig(
+        env="pro",
+        as_of="20240101",
+        bronze=f"{lake}/bronze",
+        silver=f"{lake}/silver",
+        quarantine=f"{lake}/quarantine",
+        metrics=f"{lake}/metrics",
+    )
+    reviews = lens.raw_reviews(spark, folder).withColumn(
+        "author_name", F.when(F.col("im_version").cast("int") % 7 != 0, F.col("author_name"))
+    )
+    first = reviews.withColumn("im_rating", F.col("im_version").cast("int") % 5 + 1)
+    _load_bronze(first, config)
+    daily.run(spark, config)
+    labels = lens.table(spark, folder, "labels").select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.explode(F.sequence(F.lit(0), F.col("toxic"))).alias("copy"),
+    )
+    second = reviews.withColumn("im_rating", F.col("im_rating") + 1).join(labels, "id")
+    config = replace(config, as_of="20240102")
+    _load_bronze(second.drop("copy"), config)
+    curated = daily.run(spark, config)
+    ratings = F.array_join(F.transform("historical_data", lambda e: e["im_rating"]), ",")
+    columns = ["id", "app", "segmento", "im_rating", ratings.alias("history")]
+    return curated.valid.select(*columns, F.lit("valid").alias("reasons")).unionByName(
+        curated.invalid.select(*columns, F.array_join("reasons", ",").alias("reasons"))
+    )
+
+
+def _load_bronze(reviews: DataFrame, config: RunConfig) -> None:
+    """English reviews as one segment, the others as the other."""
+    for segment, chosen in (("pf", F.col("segmento") == "en"), ("pj", F.col("segmento") != "en")):
+        rows = conform(
+            reviews.filter(chosen)
+            .withColumn("link_attributes_href", F.lit(None).cast("string"))
+            .withColumn("link_attributes_related", F.lit(None).cast("string")),
+            schemas.BRONZE,
+        )
+        rows.write.parquet(
+            f"{config.bronze}/{config.store}/docs_{segment}/odate={config.as_of}"
+        )
 
 
 @query

@@ -22,6 +22,7 @@ class Labels:
     tower: str = "NA"
     app: str = "silver_app_store"
     search: str = "app_store"
+    ts_prefix: str = ""
 
 
 @dataclass(frozen=True)

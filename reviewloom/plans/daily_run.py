@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,10 +91,17 @@ def _run_counts(spark: SparkSession, batch: DataFrame, current: DataFrame) -> Da
 
 def save(curated: Curated, config: RunConfig) -> None:
     """Write both tables; ids with an overlong history also get their versions as rows."""
+    counted = curated.counts.first()
     partitions.write_load_date(
-        curated.valid, config.silver_path, config.as_of, schemas.SILVER
+        curated.valid,
+        config.silver_path,
+        config.as_of,
+        schemas.SILVER,
+        has_rows=counted["valid"] > 0,
+    )
+    partitions.write_load_date(
+        curated.invalid, config.quarantine_path, config.as_of, has_rows=counted["invalid"] > 0
     )
-    partitions.write_load_date(curated.invalid, config.quarantine_path, config.as_of)
     long_history = curated.long_history
     if long_history is None:
         long_history = parquet.empty(curated.valid.sparkSession, schemas.LONG_HISTORY)
@@ -104,32 +110,25 @@ def save(curated: Curated, config: RunConfig) -> None:
     )
 
 
-def _moment(value: datetime):
-    return F.lit(value).cast("timestamp")
-
-
 def run(spark: SparkSession, config: RunConfig) -> Curated:
     """Run the load date. A failure is recorded and raised again."""
     batch = None
     try:
         stages = StageMetrics(spark)
         stages.begin()
-        started = datetime.now(timezone.utc)
         batch = read_batch(spark, config)
         curated = curate(spark, batch, config)
         if config.env == config.sample_env:
             _show_sample(curated)
         save(curated, config)
-        ended = datetime.now(timezone.utc)
         stages.end()
         pairs = [F.lit(text) for pair in stages.report().items() for text in pair]
         document = documents.success_document(
             curated.counts,
             quality.segment_names(curated.valid).scalar(),
             spark.sparkContext.applicationId,
-            _moment(started),
-            _moment(ended),
-            _moment(datetime.now(timezone.utc)),
+            *stages.span(),
+            F.current_timestamp(),
             F.create_map(*pairs) if pairs else None,
             config.labels,
         )
@@ -150,12 +149,13 @@ def _record_failure(
     spark: SparkSession, config: RunConfig, batch: DataFrame | None, error: Exception
 ) -> None:
     """Best effort: the caller raises the original error whatever happens here."""
-    stamped = _moment(datetime.now(timezone.utc))
     unknown = spark.createDataFrame([([],)], "names array<string>")
     attempts = [unknown] if batch is None else [quality.segment_names(batch), unknown]
     for clients in attempts:
         try:
-            document = documents.failure_document(clients, str(error), stamped, config.labels)
+            document = documents.failure_document(
+                clients, str(error), F.current_timestamp(), config.labels
+            )
             metrics.save_run("fail", config.metrics, config.fail_index, document, error)
             return
         except Exception:

@@ -73,8 +73,8 @@ def success_document(
             "source"
         ),
         F.struct(
-            formats.to_seconds_text(started).alias("start_ts"),
-            formats.to_seconds_text(ended).alias("end_ts"),
+            formats.to_seconds_text(started).alias(f"{labels.ts_prefix}start_ts"),
+            formats.to_seconds_text(ended).alias(f"{labels.ts_prefix}end_ts"),
         ).alias("_ts"),
         formats.to_millis_text(stamped).alias("timestamp"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.functions import formats
@@ -87,9 +87,9 @@ def parse_report(
 
 
 class StageMetrics:
-    """Metrics of the tasks launched between ``begin`` and ``end``.
+    """Timer of a run, and metrics of the tasks launched between ``begin`` and ``end``.
 
-    They come from the event log, so a session without one has none.
+    The metrics come from the event log, so a session without one has none.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -106,6 +106,16 @@ class StageMetrics:
             raise ValueError("begin was not called")
         self._to = int(time.time() * 1000)
 
+    def _measured(self) -> tuple[int, int]:
+        if self._from is None or self._to is None:
+            raise ValueError("begin and end must both be called first")
+        return self._from, self._to
+
+    def span(self) -> tuple[Column, Column]:
+        """Begin and end as timestamp columns."""
+        began, ended = self._measured()
+        return F.timestamp_millis(F.lit(began)), F.timestamp_millis(F.lit(ended))
+
     def log_path(self) -> str | None:
         conf = self._spark.sparkContext.getConf()
         if conf.get("spark.eventLog.enabled", "false") != "true":
@@ -115,14 +125,13 @@ class StageMetrics:
 
     def stages(self) -> DataFrame | None:
         """``per_stage`` of the measured span, or None without an event log."""
-        if self._from is None or self._to is None:
-            raise ValueError("begin and end must both be called first")
+        began, ended = self._measured()
         path = self.log_path()
         if path is None:
             return None
         launched = F.col("Task Info")["Launch Time"]
         events = event_log.read_events(self._spark, path)
-        return per_stage(events.filter(launched.between(self._from, self._to)))
+        return per_stage(events.filter(launched.between(began, ended)))
 
     def report(self) -> dict[str, str]:
         """Name and value of each metric; one short row is fetched."""

@@ -38,15 +38,19 @@ def write_load_date(
     schema: StructType | None = None,
     partition_column: str = PARTITION,
     compression: str = COMPRESSION,
+    has_rows: bool | None = None,
 ) -> bool:
     """Write ``frame`` as the partition ``load_date`` of the table at ``path``.
 
-    Returns whether there were rows. Without rows nothing is written, but the
+    Returns whether there were rows; a caller that has counted them says so with
+    ``has_rows``, which saves a job. Without rows nothing is written, but the
     rows of an earlier run of the same day are cleared.
     """
     _checked(frame, path)
     rows = frame if schema is None else conform(frame, schema)
-    if rows.isEmpty():
+    if has_rows is None:
+        has_rows = not rows.isEmpty()
+    if not has_rows:
         _clear(rows.drop(partition_column), f"{path.rstrip('/')}/{partition_column}={load_date}")
         return False
     _writer(rows.withColumn(partition_column, F.lit(load_date)), compression).partitionBy(
