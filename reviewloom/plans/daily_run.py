@@ -85,8 +85,9 @@ def _run_counts(spark: SparkSession, batch: DataFrame, current: DataFrame) -> Da
     merged["null_id"] = keys["no_key"]
     merged["invalid"] += keys["rejected"]
     merged["written_total"] = merged["valid"] + merged["invalid"]
-    fields = ", ".join(f"{name} bigint" for name in merged)
-    return spark.createDataFrame([tuple(merged.values())], fields)
+    return spark.range(1).select(
+        *(F.lit(count).cast("bigint").alias(name) for name, count in merged.items())
+    )
 
 
 def save(curated: Curated, config: RunConfig) -> None:
@@ -149,7 +150,7 @@ def _record_failure(
     spark: SparkSession, config: RunConfig, batch: DataFrame | None, error: Exception
 ) -> None:
     """Best effort: the caller raises the original error whatever happens here."""
-    unknown = spark.createDataFrame([([],)], "names array<string>")
+    unknown = spark.range(1).select(F.array().cast("array<string>").alias("names"))
     attempts = [unknown] if batch is None else [quality.segment_names(batch), unknown]
     for clients in attempts:
         try:

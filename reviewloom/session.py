@@ -9,13 +9,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Times are written as UTC; skewed joins may be split even where a later
-# grouping then needs one more shuffle.
+# grouping then needs one more shuffle; call sites are not sent to the JVM with
+# every column expression, which takes most of the time of building a plan.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """No rows of ``schema``; known to be empty when the plan is made."""
+    return spark.range(0).select(
+        *(F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields)
+    )
 
 
 def scan(
