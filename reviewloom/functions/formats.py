@@ -1,4 +1,4 @@
-"""Formats used in metrics documents. Times are formatted in the session zone."""
+"""Formats used in metrics documents. Times are written as UTC in any session zone."""
 
 from __future__ import annotations
 
@@ -26,12 +26,17 @@ def minutes_between(start: Column, end: Column) -> Column:
     return F.format_string("%.2f min", micros / 60_000_000)
 
 
+def _in_utc(moment: Column) -> Column:
+    here = moment.cast("timestamp").cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), here)
+
+
 def to_seconds_text(moment: Column) -> Column:
-    return F.date_format(moment, SECONDS_FORMAT)
+    return F.date_format(_in_utc(moment), SECONDS_FORMAT)
 
 
 def to_millis_text(moment: Column) -> Column:
-    return F.date_format(moment, MILLIS_FORMAT)
+    return F.date_format(_in_utc(moment), MILLIS_FORMAT)
 
 
 def label_of(names: Column) -> Column:

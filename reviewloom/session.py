@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import posixpath
 import tempfile
 import uuid
@@ -21,9 +22,22 @@ SETTINGS = {
 }
 
 
-def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
+# A shuffle partition of this size sorts in memory on a core's share of an executor.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def configure(
+    builder: SparkSession.Builder, largest_shuffle: int | None = None
+) -> SparkSession.Builder:
+    """Apply the settings. ``largest_shuffle`` is the expected size in bytes of the
+    largest shuffle, mostly one day's snapshot; small ones are coalesced at run time."""
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
+    if largest_shuffle is not None:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            str(max(1, math.ceil(largest_shuffle / PARTITION_BYTES))),
+        )
     return builder
 
 

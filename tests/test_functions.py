@@ -92,3 +92,16 @@ def test_label(spark, names, label):
 def test_report_pair(spark, line, pair):
     found = one(spark, line, formats.report_pair(F.col("v")))
     assert (tuple(found) if found else None) == pair
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_times_are_utc_in_any_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        moment = F.timestamp_millis(F.lit(1706608891250))
+        assert one(spark, "", formats.to_seconds_text(moment)) == "2024-01-30 10:01:31"
+        assert one(spark, "", formats.to_millis_text(moment)) == "2024-01-30T10:01:31.250Z"
+        later = F.timestamp_millis(F.lit(1706608891250 + 90_000))
+        assert one(spark, "", formats.minutes_between(moment, later)) == "1.50 min"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
