@@ -301,10 +301,11 @@ def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def duplicate_records(spark: SparkSession, folder: str) -> DataFrame:
-    frame = lens.table(spark, folder, "documents").select(
+    digests = lens.table(spark, folder, "documents").select(
         "doc_id", "source", "lang", "n_chars", F.sha2("text", 256).alias(TEXT_KEY)
     )
-    return quality.duplicate_records(frame, TEXT_KEY)
+    # stored, as it is scanned several times and the texts are wide
+    return quality.duplicate_records(session.store(digests), TEXT_KEY)
 
 
 @query
@@ -346,7 +347,9 @@ def check_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    rejected = quality.quarantine(lens.checked_reviews(spark, folder), TEXT_KEY, RATED)
+    narrow = lens.checked_reviews(spark, folder).drop("content")
+    # stored, as it is scanned several times and the texts are wide
+    rejected = quality.quarantine(session.store(narrow), TEXT_KEY, RATED)
     return rejected.select(
         "id", "name_client", "segmento", F.array_join("reasons", ",").alias("reasons")
     )

@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from reviewloom.operators import joins, sizing
 from reviewloom.schemas import HISTORY_ENTRY, KEY, PARTITION, PAYLOAD, REVIEW_FIELDS, TRACKED
@@ -41,12 +42,24 @@ def change_label() -> Column:
     return F.coalesce(*(F.when(differs(name), F.lit(name)) for name in TRACKED))
 
 
+def load_day(history: DataFrame) -> Column:
+    """The load date, ``yyyyMMdd`` text as a number.
+
+    Text has no fixed width, so its minimum or maximum per key would be found by
+    sorting rows; that of a number is found by hashing keys.
+    """
+    column = F.col(PARTITION)
+    if isinstance(history.schema[PARTITION].dataType, StringType):
+        return column.cast("int")
+    return column
+
+
 def tally_history(history: DataFrame) -> DataFrame:
     """Per id: ``n`` earlier rows and the ``newest`` load date. Reads two columns."""
     return (
         history.filter(F.col(KEY).isNotNull())
         .groupBy(KEY)
-        .agg(F.count(F.lit(1)).alias("n"), F.max(PARTITION).alias("newest"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max(load_day(history)).alias("newest"))
     )
 
 
@@ -56,7 +69,8 @@ def since_all_newest(history: DataFrame, tally: DataFrame) -> DataFrame:
     Each stored day is a full snapshot, so this is mostly the last folder; the
     others are pruned before they are read.
     """
-    return history.filter(F.col(PARTITION) >= tally.agg(F.min("newest")).scalar())
+    oldest = tally.agg(F.min("newest").cast(history.schema[PARTITION].dataType))
+    return history.filter(F.col(PARTITION) >= oldest.scalar())
 
 
 def latest_rows(history: DataFrame) -> DataFrame:
@@ -79,7 +93,7 @@ def distinct_versions(history: DataFrame) -> DataFrame:
     return (
         history.filter(F.col(KEY).isNotNull())
         .groupBy(KEY, *PAYLOAD)
-        .agg(F.min(PARTITION).alias("first_seen"))
+        .agg(F.min(load_day(history)).alias("first_seen"))
     )
 
 
@@ -110,7 +124,7 @@ def change_rows(
     )
     as_old = [F.col(name).alias(f"old_{name}") for name in PAYLOAD]
     if small:
-        pairs = history.select(KEY, F.col(PARTITION).alias("first_seen"), *as_old).join(
+        pairs = history.select(KEY, load_day(history).alias("first_seen"), *as_old).join(
             F.broadcast(batch), KEY
         )
         found = _replaced(pairs, *extra)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,18 +72,25 @@ def null_reasons(required: Sequence[str] = REQUIRED) -> Column:
 
 
 def reject_keys(
-    frame: DataFrame, key: str = KEY, required: Sequence[str] = REQUIRED
+    frame: DataFrame,
+    key: str = KEY,
+    required: Sequence[str] = REQUIRED,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Rows that cannot be merged, with ``reasons``: null key, or any copy of a repeated one."""
-    reasons = null_reasons(required)
+    """Rows that cannot be merged, with ``reasons``: null key, or any copy of a repeated one.
+
+    ``finish`` is applied to those rows before their columns are looked at, for
+    work that the other rows need not go through.
+    """
     no_key = frame.filter(F.col(key).isNull())
-    if key not in required:
-        reasons_no_key = F.array_append(reasons, F.lit(NULL_REASON + key))
-    else:
-        reasons_no_key = reasons
     repeated = duplicate_records(frame, key)
-    return no_key.withColumn("reasons", reasons_no_key).unionByName(
-        repeated.withColumn("reasons", F.array_append(reasons, F.lit(DUPLICATE_REASON)))
+    if finish is not None:
+        no_key, repeated = finish(no_key), finish(repeated)
+    columns = list(required) if key in required else [key, *required]
+    return no_key.withColumn("reasons", null_reasons(columns)).unionByName(
+        repeated.withColumn(
+            "reasons", F.array_append(null_reasons(required), F.lit(DUPLICATE_REASON))
+        )
     )
 
 

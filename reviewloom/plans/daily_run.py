@@ -29,19 +29,19 @@ class Curated(NamedTuple):
 
 
 def read_batch(spark: SparkSession, config: RunConfig) -> DataFrame:
-    """Standardised reviews of the load date, all segments."""
-    return standardize_reviews(
-        bronze.read_segments(spark, config.segment_globs(), store=config.store)
-    )
+    """Raw reviews of the load date, all segments."""
+    return bronze.read_segments(spark, config.segment_globs(), store=config.store)
 
 
 def curate(spark: SparkSession, batch: DataFrame, config: RunConfig) -> Curated:
     """Merge ``batch`` with its history, check it and split it.
 
     The mergeable rows, the tally of the history and the merged rows are written
-    to the scratch folder once, as each is used several times.
+    to the scratch folder once, as each is used several times. Text is
+    standardised after rows have been selected by id, so once for each.
     """
-    new = session.store(quality.unique_rows(batch))
+    standard = standardize_reviews(quality.unique_rows(batch))
+    new = session.store(standard.select(*schemas.REVIEW_FIELDS))
     earlier = history.read_history(spark, config.silver_path, config.as_of)
     tally = session.store(merge.tally_history(earlier))
     merged, long_history = merge.merge_snapshots(
@@ -52,7 +52,7 @@ def curate(spark: SparkSession, batch: DataFrame, config: RunConfig) -> Curated:
     incomplete = current.filter(~quality.is_complete()).withColumn(
         "reasons", quality.null_reasons()
     )
-    rejected = quality.reject_keys(batch).withColumn(
+    rejected = quality.reject_keys(batch, finish=standardize_reviews).withColumn(
         "historical_data", F.array().cast(schemas.SILVER["historical_data"].dataType)
     )
     invalid = conform(rejected, schemas.QUARANTINE).unionByName(incomplete)
