@@ -17,6 +17,13 @@ MULTI_CHAR_FOLDS = {
     "þ": "th",
     "Þ": "Th",
     "…": "...",
+    "—": "--",
+    "«": "<<",
+    "»": ">>",
+    "€": "EUR",
+    "©": "(c)",
+    "®": "(r)",
+    "°": "deg",
 }
 SINGLE_CHAR_FOLDS = {
     "ø": "o",
@@ -37,6 +44,9 @@ SINGLE_CHAR_FOLDS = {
     "–": "-",
     "¡": "!",
     "¿": "?",
+    "´": "'",
+    "•": "*",
+    "·": "*",
 }
 
 # Pictographs, joiners and variation selectors, folded to nothing.

@@ -20,6 +20,8 @@ def one(spark, value, column, type_="string"):
         ("nº 1ª", "NO 1A"),
         ("bom 👍🏽 ❤️ fim", "BOM   FIM"),
         ("“é” – ‘ok’…", "\"E\" - 'OK'..."),
+        ("«10 €» — 5°\u00a0• d´água", "<<10 EUR>> -- 5DEG * D'AGUA"),
+        ("e\u0301", "E"),
         ("plain", "PLAIN"),
         ("", ""),
         (None, None),

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,3 +248,60 @@ def test_rows_with_keys_keeps_copies_of_hot_keys(spark, rows_of):
     repeated = joins.key_tally(frame, "k").filter("n > 1")
     found = joins.rows_with_keys(frame, repeated, "k", F.lit(92), slices=10)
     assert rows_of(found) == [("hot", "x")] * 40 + [("rare", "y")] * 2
+
+
+def brute_force(new_rows, dated_rows):
+    """The merge spelt out row by row."""
+    position = {name: i for i, name in enumerate(FIELDS)}
+    new = {r[0]: r for r in new_rows}
+    old = {}
+    for day, r in dated_rows:
+        old.setdefault(r[0], []).append((day, r))
+    result = {}
+    for key in new.keys() | old.keys():
+        versions = sorted(old.get(key, []), key=lambda v: v[0])
+        newest = versions[-1][1] if versions else (None,) * len(FIELDS)
+        fresh = new.get(key, (None,) * len(FIELDS))
+        values = tuple(f if f is not None else o for f, o in zip(fresh, newest))
+        history = []
+        for _, r in versions:
+            changed = any(
+                fresh[position[t]] is not None
+                and r[position[t]] is not None
+                and fresh[position[t]] != r[position[t]]
+                for t in schemas.TRACKED
+            )
+            payload = tuple(r[position[name]] for name in schemas.PAYLOAD)
+            if changed and payload not in history:
+                history.append(payload)
+        result[key] = ((key, *values[1:]), history)
+    return result
+
+
+def test_random_merge_equals_brute_force(spark, limit):
+    dice = random.Random(7)
+
+    def some(id_):
+        return row(
+            id_,
+            title=dice.choice(["A", "B", None]),
+            content=dice.choice(["x", "y", None]),
+            im_version=dice.choice(["1", "2", None]),
+            im_rating=dice.choice(["1", "5", None]),
+            segmento=dice.choice(["pf", "pj"]),
+            updated=dice.choice(["u1", None]),
+        )
+
+    new = [some(f"id{i}") for i in range(0, 30)]
+    dated = [
+        (f"202401{day:02}", some(f"id{i}"))
+        for i in range(10, 45)
+        for day in range(1, 15)
+        if dice.random() < 0.6
+    ]
+    merged = merge.merge_snapshots(batch(spark, *new), past(spark, *dated), broadcast_limit=limit)
+    found = {
+        r["id"]: (tuple(r[n] for n in FIELDS), [tuple(e) for e in r["historical_data"]])
+        for r in merged.current.collect()
+    }
+    assert found == brute_force(new, dated)
