@@ -281,8 +281,17 @@ SELECT 'silver' AS layer, 'app_store_reviews' AS job, '0' AS priority,
        '2024-01-30T10:01:31.250Z' AS "timestamp"
 FROM (SELECT DISTINCT lang AS name FROM documents)""",
     "stage_report_kv": """
-SELECT event_id, event_type AS key, trim(props) AS value FROM events
-WHERE event_id % 4 IN (0, 1)""",
+WITH lines AS (
+  SELECT event_id, CASE event_type WHEN 'error' THEN 'Scheduling mode = ' || props
+                   WHEN 'view' THEN '   ' WHEN 'click' THEN event_type || ' => ' || props
+                   ELSE '  ' || event_type || ' = ' || props END AS line
+  FROM events
+),
+split AS (
+  SELECT event_id, line, string_split_regex(trim(line), ' => | = ') AS parts FROM lines
+)
+SELECT event_id, trim(parts[1]) AS key, trim(parts[2]) AS value FROM split
+WHERE len(parts) = 2 AND NOT starts_with(line, 'Scheduling mode')""",
     "stage_metrics": """
 SELECT CAST(l_linenumber AS BIGINT) AS stage_id, count(*) AS "numTasks",
        CAST(max(l_orderkey + 1000) - min(l_orderkey) AS BIGINT) AS "stageDuration",

@@ -482,12 +482,12 @@ def failure_document(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stage_report_kv(spark: SparkSession, folder: str) -> DataFrame:
     """Report lines made of every event: pairs of both kinds, headings and blank lines."""
-    kind = F.col("event_id") % 4
+    kind = F.col("event_type")
     line = (
-        F.when(kind == 0, F.concat_ws(" => ", "event_type", "props"))
-        .when(kind == 1, F.concat(F.lit("  "), F.concat_ws(" = ", "event_type", "props")))
-        .when(kind == 2, F.concat(F.lit("Scheduling mode = "), "event_type"))
-        .otherwise("   ")
+        F.when(kind == "error", F.concat(F.lit("Scheduling mode = "), "props"))
+        .when(kind == "view", "   ")
+        .when(kind == "click", F.concat_ws(" => ", "event_type", "props"))
+        .otherwise(F.concat(F.lit("  "), F.concat_ws(" = ", "event_type", "props")))
     )
     lines = lens.table(spark, folder, "events").select("event_id", line.alias("line"))
     return stage_metrics.parse_report(lines, keep=("event_id",))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than 1/SLICES of the rows. Fewer than SLICES
@@ -68,7 +68,9 @@ def salted_join(
     return spread.join(repeated, [key, part], how).drop(part)
 
 
-def rows_with_keys(frame: DataFrame, counted: DataFrame, key: str, total, slices: int = SLICES):
+def rows_with_keys(
+    frame: DataFrame, counted: DataFrame, key: str, total: Column, slices: int = SLICES
+) -> DataFrame:
     """Rows of ``frame`` whose key is in ``counted`` (``key``, ``n``), copies included.
 
     Hot keys are matched by broadcast, where their rows stay in place; only

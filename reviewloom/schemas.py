@@ -54,6 +54,12 @@ BRONZE = StructType(
 # Bronze plus the two attributes read off the file path.
 BRONZE_WITH_ORIGIN = StructType(BRONZE.fields + _strings("app", "segmento"))
 
+# Columns of standardised reviews, in order.
+STANDARD = tuple(
+    "id name_client updated author_uri title im_version im_rating im_votecount im_votesum app "
+    "content_attributes_label content_attributes_term segmento content".split()
+)
+
 HISTORY_ENTRY = StructType(_strings(*PAYLOAD))
 
 REVIEW_FIELDS = (
