@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,44 +19,56 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_layouts[path]).parquet(path)
 
 
+def _rated(spark: SparkSession, folder: str, **columns: Column) -> DataFrame:
+    """Document columns with the label's quality as rating, null where there is none.
+
+    The columns are computed before the join, so that texts are only joined
+    where they are wanted themselves.
+    """
+    documents = table(spark, folder, "documents").withColumns(columns)
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("im_rating"))
+    return documents.select("doc_id", *columns).join(labels, "doc_id", "left").drop("doc_id")
+
+
 def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as bronze reviews, rated by their label where they have one."""
-    rated = table(spark, folder, "documents").join(
-        table(spark, folder, "labels").select("doc_id", "quality"), "doc_id", "left"
-    )
-    return rated.select(
-        F.col("doc_id").cast("string").alias("id"),
-        F.col("source").alias("author_name"),
-        F.split_part("text", F.lit("."), F.lit(1)).alias("title"),
-        F.col("text").alias("content"),
-        F.col("quality").alias("im_rating"),
-        F.col("n_chars").cast("string").alias("im_version"),
-        F.lit(None).cast("string").alias("updated"),
-        F.lit(None).cast("string").alias("author_uri"),
-        F.lit(None).cast("int").alias("im_votecount"),
-        F.lit(None).cast("int").alias("im_votesum"),
-        F.lit("documents").alias("app"),
-        F.lit(None).cast("string").alias("content_attributes_label"),
-        F.lit(None).cast("string").alias("content_attributes_term"),
-        F.col("lang").alias("segmento"),
+    none = F.lit(None)
+    return _rated(
+        spark,
+        folder,
+        id=F.col("doc_id").cast("string"),
+        author_name=F.col("source"),
+        title=F.split_part("text", F.lit("."), F.lit(1)),
+        content=F.col("text"),
+        im_version=F.col("n_chars").cast("string"),
+        updated=none.cast("string"),
+        author_uri=none.cast("string"),
+        im_votecount=none.cast("int"),
+        im_votesum=none.cast("int"),
+        app=F.lit("documents"),
+        content_attributes_label=none.cast("string"),
+        content_attributes_term=none.cast("string"),
+        segmento=F.col("lang"),
     )
 
 
 def checked_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """The same reviews with a digest of the text as key.
+    """The same reviews for the checks, with a digest of the whole text as key.
 
     Ids are unique in the documents and texts are not, so the text is what can
-    repeat. A digest instead of the text keeps the shuffles narrow.
+    repeat. The checks only ask whether there is content, so a mark stands for
+    it; with a digest as key, no text is shuffled.
     """
-    return raw_reviews(spark, folder).select(
-        "id",
-        F.col("author_name").alias("name_client"),
-        F.sha2("content", 256).alias("text_key"),
-        "content",
-        F.col("im_rating").cast("string").alias("im_rating"),
-        "im_version",
-        "segmento",
-    )
+    return _rated(
+        spark,
+        folder,
+        id=F.col("doc_id").cast("string"),
+        name_client=F.col("source"),
+        text_key=F.sha2("text", 256),
+        content=F.when(F.col("text").isNotNull(), F.lit("present")),
+        im_version=F.col("n_chars").cast("string"),
+        segmento=F.col("lang"),
+    ).withColumn("im_rating", F.col("im_rating").cast("string"))
 
 
 def snapshots(spark: SparkSession, folder: str) -> DataFrame:

@@ -310,7 +310,7 @@ def duplicate_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def null_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.null_counts(lens.raw_reviews(spark, folder))
+    return quality.null_counts(lens.checked_reviews(spark, folder))
 
 
 @query
@@ -347,9 +347,9 @@ def check_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    narrow = lens.checked_reviews(spark, folder).drop("content")
-    # stored, as it is scanned several times and the texts are wide
-    rejected = quality.quarantine(session.store(narrow), TEXT_KEY, RATED)
+    # stored, as it is scanned several times and digests are made of whole texts
+    reviews = session.store(lens.checked_reviews(spark, folder))
+    rejected = quality.quarantine(reviews, TEXT_KEY, RATED)
     return rejected.select(
         "id", "name_client", "segmento", F.array_join("reasons", ",").alias("reasons")
     )
