@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import chat, mixing, repetition, secret_scan, sharding, tokens
+from reviewloom.llm import chat, mixing, repetition, secret_scan, sharding, simhash, tokens
 from reviewloom.llm.common import table
 
 
@@ -20,6 +20,7 @@ def _conversations(spark, sf_dir):
 QUERIES = {
     "op1_secret_scan": lambda spark, d: secret_scan.secrets(table(spark, d, "documents")),
     "op3_mixing": lambda spark, d: mixing.mix(table(spark, d, "documents")),
+    "op4_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
     "op6_quality_rules": lambda spark, d: repetition.quality(table(spark, d, "documents")),
     "op7_token_counts": lambda spark, d: tokens.token_counts(table(spark, d, "documents")),
     "op10_chat_formatting": lambda spark, d: chat.digests(
