@@ -8,8 +8,8 @@ import pytest
 
 import __spark_entry__ as driver
 from conftest import SMALL
-
-SQL = driver.oracle_sql()
+from reviewloom.catalog.oracle import SQL
+from reviewloom.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -29,9 +29,9 @@ def plain(value):
     return round(value, 6) if isinstance(value, float) else value
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, oracle, name):
-    frame = driver.queries()[name](spark, SMALL)
+    frame = QUERIES[name](spark, SMALL)
     columns = sorted(frame.columns)
     expected = oracle.sql(SQL[name])
     assert sorted(expected.columns) == columns
@@ -44,7 +44,12 @@ def test_query_equals_its_sql(spark, oracle, name):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(driver.queries())
+    assert set(SQL) == set(QUERIES)
+
+
+def test_the_driver_sees_every_query():
+    assert QUERIES.items() <= driver.queries().items()
+    assert SQL.items() <= driver.oracle_sql().items()
 
 
 def test_entry_has_rows(spark):
