@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import chat, mixing, repetition, secret_scan, sharding, simhash, tokens
+from reviewloom.llm import (
+    chat,
+    decontamination,
+    mixing,
+    repetition,
+    secret_scan,
+    sharding,
+    simhash,
+    site_text,
+    tokens,
+)
 from reviewloom.llm.common import table
 
 
@@ -19,10 +29,14 @@ def _conversations(spark, sf_dir):
 
 QUERIES = {
     "op1_secret_scan": lambda spark, d: secret_scan.secrets(table(spark, d, "documents")),
+    "op2_site_text": lambda spark, d: site_text.main_texts(table(spark, d, "pages")),
     "op3_mixing": lambda spark, d: mixing.mix(table(spark, d, "documents")),
     "op4_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
     "op6_quality_rules": lambda spark, d: repetition.quality(table(spark, d, "documents")),
     "op7_token_counts": lambda spark, d: tokens.token_counts(table(spark, d, "documents")),
+    "op9_decontamination": lambda spark, d: decontamination.contaminated(
+        table(spark, d, "documents"), table(spark, d, "benchmark")
+    ),
     "op10_chat_formatting": lambda spark, d: chat.digests(
         chat.formatted_turns(_conversations(spark, d))
     ),
