@@ -22,8 +22,6 @@ LEAST_TILE = 5
 LEAST_COVERAGE = 0.6
 # Benchmark items are sent to the documents in blocks of so many tokens.
 BLOCK_TOKENS = 1_000_000
-# Words whose hashes a worker remembers before it starts afresh.
-CACHE_WORDS = 500_000
 
 # A token is a run of letters and digits, case folded: punctuation, layout and case of a
 # copied passage may differ.
@@ -33,29 +31,51 @@ _other_sign = re.compile(r"[^\x00-\x7f\w]").search
 _SIGNS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 _SIEVE = 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_PIECE = 1 << 16
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxh64_intdigest(word)
-        return value
+def _powers(base: int) -> np.ndarray:
+    return np.concatenate(
+        [np.ones(1, np.uint64), np.cumprod(np.full(_PIECE - 1, base, np.uint64))]
+    )
+
 
+_POWERS = _powers(0xD6E8FEB86659FD93)
+_INVERSES = _powers(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
-class Tokens:
-    """Texts as arrays of token hashes."""
 
-    def __init__(self):
-        self.known = _Hashes()
+def token_hashes(text: str) -> np.ndarray:
+    """The tokens of a text as hashes, all by array operations.
 
-    def __call__(self, text: str) -> np.ndarray:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        text = text.lower()
-        if text.isascii() or not _other_sign(text):
-            found = text.encode().translate(_SIGNS).split()
-        else:
-            found = [token.encode() for token in _tokens(text)]
-        return np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
+    A token's hash is the difference of two prefix sums of bytes times powers, shifted
+    back to power 0, so it does not depend on where the token stands.
+    """
+    text = text.lower()
+    if text.isascii() or not _other_sign(text):
+        found = text.encode().translate(_SIGNS).split()
+    else:
+        found = [token.encode() for token in _tokens(text)]
+    if not found:
+        return np.empty(0, np.uint64)
+    data = np.frombuffer(b" ".join(found), np.uint8)
+    ends = np.append(np.flatnonzero(data == 32), len(data))
+    starts = np.append(0, ends[:-1] + 1)
+    parts, first = [], 0
+    while first < len(ends):  # pieces of whole tokens that stay in the cache
+        begin = starts[first]
+        last = int(np.searchsorted(ends, begin + _PIECE - 1, side="right"))
+        if last == first:  # a token longer than a piece
+            token = data[begin : ends[first]].tobytes()
+            parts.append(np.array([xxh64_intdigest(token)], np.uint64))
+            first += 1
+            continue
+        piece = data[begin : ends[last - 1]].astype(np.uint64)
+        sums = np.append(np.uint64(0), np.cumsum((piece + np.uint64(1)) * _POWERS[: len(piece)]))
+        low, high = starts[first:last] - begin, ends[first:last] - begin
+        value = (sums[high] - sums[low]) * _INVERSES[low]
+        parts.append((value ^ (value >> np.uint64(29))) * _BASE)
+        first = last
+    return np.concatenate(parts)
 
 
 def _grams(tokens: np.ndarray, length: int) -> np.ndarray:
@@ -76,7 +96,8 @@ def tiled(item: np.ndarray, text: np.ndarray, least: int = LEAST_TILE) -> int:
     Karp-Rabin hashes, and equal ones, verified token by token, are marked on both sides.
     """
     free_item, free_text = np.ones(len(item), bool), np.ones(len(text), bool)
-    for length in range(min(len(item), len(text)), least - 1, -1):
+    length = min(len(item), len(text)) + 1
+    while (length := min(length - 1, _longest_run(free_item))) >= least:
         of_item, of_text = _grams(item, length), _grams(text, length)
         shared = np.isin(of_item, of_text)
         if not shared.any():
@@ -96,6 +117,12 @@ def tiled(item: np.ndarray, text: np.ndarray, least: int = LEAST_TILE) -> int:
     return int((~free_item).sum())
 
 
+def _longest_run(free: np.ndarray) -> int:
+    """The most free places in a row."""
+    taken = np.flatnonzero(~free)
+    return int(np.diff(np.concatenate([[-1], taken, [len(free)]])).max()) - 1
+
+
 class Hit(NamedTuple):
     number: int
     covered: int
@@ -167,9 +194,9 @@ def _union(places: np.ndarray, length: int) -> int:
 
 def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Items in blocks of bounded size, streamed: (item ids, items)."""
-    tokens, ids, items, held = Tokens(), [], [], 0
+    ids, items, held = [], [], 0
     for item_id, text in benchmark.select("item_id", "text").toLocalIterator():
-        found = tokens(text or "")
+        found = token_hashes(text or "")
         if len(found) >= LEAST_TILE:
             ids.append(item_id)
             items.append(found)
@@ -185,12 +212,12 @@ def _finder(spark, ids: list, items: list, kind: str, coverage: float) -> Callab
     sent = spark.sparkContext.broadcast((ids, items))
 
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        (names, sent_items), tokens = sent.value, Tokens()
+        names, sent_items = sent.value
         block = Block(sent_items)
         for batch in batches:
             rows = []
             for text in batch:
-                hits = block.hits(tokens(text), coverage)
+                hits = block.hits(token_hashes(text), coverage)
                 rows.append(
                     ([names[h.number] for h in hits], [h.covered for h in hits], [h.tokens for h in hits])
                 )
