@@ -6,6 +6,7 @@ from reviewloom.llm import (
     chat,
     decontamination,
     mixing,
+    repeats,
     repetition,
     secret_scan,
     sharding,
@@ -32,6 +33,7 @@ QUERIES = {
     "op2_site_text": lambda spark, d: site_text.main_texts(table(spark, d, "pages")),
     "op3_mixing": lambda spark, d: mixing.mix(table(spark, d, "documents")),
     "op4_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
+    "op5_suffix_repeats": lambda spark, d: repeats.without_repeats(table(spark, d, "documents")),
     "op6_quality_rules": lambda spark, d: repetition.quality(table(spark, d, "documents")),
     "op7_token_counts": lambda spark, d: tokens.token_counts(table(spark, d, "documents")),
     "op9_decontamination": lambda spark, d: decontamination.contaminated(
