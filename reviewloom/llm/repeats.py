@@ -28,6 +28,7 @@ SORTED_BYTES = 1 << 20
 # Rows per document are sent to all executors up to this size, else they are joined.
 SENT_BYTES = 32 * 1024 * 1024
 
+_SPREAD = 0x2545F4914F6CDD1D
 _NO_ID = (1 << 63) - 1
 
 
@@ -81,7 +82,8 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = first | ~same_place  # rows of one document that is there twice are one
         yield _batch(
             {
-                "anchor": anchor.view(np.int64)[kept],
+                # what needs no comparison goes anywhere, not to where its anchor is compared
+                "anchor": np.where(first, anchor.view(np.int64), doc ^ (at * _SPREAD))[kept],
                 "span": span.view(np.int64)[kept],
                 "doc": doc[kept],
                 "at": at[kept],
