@@ -291,12 +291,8 @@ def removed_ranges(documents: DataFrame, crowded: int = CROWDED) -> DataFrame:
                 F.struct("anchor", "at", F.coalesce("single", F.lit(False)).alias("crowded"))
             ).alias("runs")
         )
-        .select("doc", "tie", "runs", F.size("runs").alias("n"))
     )
-    weight = wanted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] * 32
-    side = wanted.drop("n")
-    side = F.broadcast(side) if weight <= SENT_BYTES else side
-    spans = texts.join(side, ["doc", "tie"]).select(
+    spans = texts.join(wanted, ["doc", "tie"]).select(
         "doc",
         "text",
         F.col("runs.anchor").alias("anchors"),
