@@ -86,10 +86,11 @@ def mixed(
     weights: Sequence[int] = WEIGHTS,
     schedules: Sequence[Sequence[float]] = SCHEDULES,
     most: int = MOST_COPIES,
+    carried: Sequence[str] | None = None,
 ) -> DataFrame:
     """Each document's share of the mix.
 
-    Columns: ``doc`` (all columns of the input row, as a struct), ``size``,
+    Columns: ``doc`` (the input row, or its ``carried`` columns, as a struct), ``size``,
     ``source_size``, ``target``, ``copies``, ``taken`` (words, repeats counted) and
     ``before`` (words of the source before it). A source is read in order of a digest of
     ``doc_id`` as often as its target goes into its size; the last reading ends at the
@@ -101,7 +102,7 @@ def mixed(
     """
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     rows = documents.select(
-        F.struct("*").alias("doc"), "source", n_words().alias("size"), digest.alias("digest")
+        F.struct(*(["*"] if carried is None else carried)).alias("doc"), "source", n_words().alias("size"), digest.alias("digest")
     ).withColumn("range", F.conv(F.substring("digest", 1, 3), 16, 10).cast("int"))
     sums = rows.groupBy("source", "range").agg(F.sum("size").alias("words"))
     sources = targets(
@@ -149,7 +150,7 @@ def mix(documents: DataFrame) -> DataFrame:
     ``position`` is when its first copy is seen, null where none is. See ``mixed``.
     """
     return (
-        mixed(documents)
+        mixed(documents, carried=["doc_id"])
         .select("doc.doc_id", "size", "source_size", "target", "taken", "position")
         .orderBy(F.col("position").asc_nulls_last(), "doc_id")
     )
