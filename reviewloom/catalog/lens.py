@@ -4,19 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from reviewloom.schemas import KEY, PARTITION
 
-_layouts: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table. Its layout is inferred once; later scans start without that job."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _layouts:
-        _layouts[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_layouts[path]).parquet(path)
+    """A test table."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def _rated(spark: SparkSession, folder: str, **columns: Column) -> DataFrame:
@@ -38,7 +31,7 @@ def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
         folder,
         id=F.col("doc_id").cast("string"),
         author_name=F.col("source"),
-        title=F.split_part("text", F.lit("."), F.lit(1)),
+        title=F.substring_index("text", ".", 1),
         content=F.col("text"),
         im_version=F.col("n_chars").cast("string"),
         updated=none.cast("string"),

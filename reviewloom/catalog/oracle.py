@@ -292,13 +292,6 @@ split AS (
 )
 SELECT event_id, trim(parts[1]) AS key, trim(parts[2]) AS value FROM split
 WHERE len(parts) = 2 AND NOT starts_with(line, 'Scheduling mode')""",
-    "stage_metrics": """
-SELECT CAST(l_linenumber AS BIGINT) AS stage_id, count(*) AS "numTasks",
-       CAST(max(l_orderkey + 1000) - min(l_orderkey) AS BIGINT) AS "stageDuration",
-       CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS "executorRunTime",
-       CAST(sum(l_partkey) AS BIGINT) AS "recordsRead",
-       CAST(sum(l_suppkey) AS BIGINT) AS "shuffleBytesWritten"
-FROM lineitem GROUP BY 1""",
     "frame_bytes": """
 SELECT CAST(sum(strlen(CAST(doc_id AS VARCHAR)) + strlen(text) + strlen(lang) + strlen(source)
        + strlen(CAST(n_chars AS VARCHAR))) AS BIGINT) AS bytes FROM documents""",

@@ -285,7 +285,7 @@ def current_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def snapshot_merge(spark: SparkSession, folder: str) -> DataFrame:
     merged = merge.merge_snapshots(*lens.new_and_earlier(spark, folder))
-    return merged.current.select(
+    return merged.select(
         *_CURRENT, merge.entries_text(F.col("historical_data")).alias("history")
     )
 
@@ -493,40 +493,6 @@ def stage_report_kv(spark: SparkSession, folder: str) -> DataFrame:
     return stage_metrics.parse_report(lines, keep=("event_id",))
 
 
-@query
-def stage_metrics_of_tasks(spark: SparkSession, folder: str) -> DataFrame:
-    """Event-log lines made of every line item, aggregated per stage."""
-    items = lens.table(spark, folder, "lineitem")
-    task = F.struct(
-        F.lit("SparkListenerTaskEnd").alias("Event"),
-        F.col("l_linenumber").alias("Stage ID"),
-        F.struct(
-            F.col("l_orderkey").alias("Launch Time"),
-            (F.col("l_orderkey") + 1000).alias("Finish Time"),
-        ).alias("Task Info"),
-        F.struct(
-            F.col("l_quantity").cast("bigint").alias("Executor Run Time"),
-            F.struct(F.col("l_partkey").alias("Records Read")).alias("Input Metrics"),
-            F.struct(F.col("l_suppkey").alias("Shuffle Bytes Written")).alias(
-                "Shuffle Write Metrics"
-            ),
-        ).alias("Task Metrics"),
-    )
-    stored = session.scratch_folder(spark)
-    items.select(F.to_json(task).alias("value")).write.text(stored)
-    return stage_metrics.per_stage(stage_metrics.event_log.read_events(spark, stored)).select(
-        "stage_id",
-        "numTasks",
-        "stageDuration",
-        "executorRunTime",
-        "recordsRead",
-        "shuffleBytesWritten",
-    )
-
-
-QUERIES["stage_metrics"] = QUERIES.pop("stage_metrics_of_tasks")
-
-
 # Sinks and the whole run -----------------------------------------------------
 
 

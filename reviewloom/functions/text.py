@@ -7,6 +7,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reviewloom.functions import formats
+
 # Letters and signs that Unicode does not decompose.
 MULTI_CHAR_FOLDS = {
     "ß": "ss",
@@ -49,8 +51,8 @@ SINGLE_CHAR_FOLDS = {
     "·": "*",
 }
 
-# Pictographs, joiners and variation selectors, folded to nothing.
-DROPPED = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{FE00}-\x{FE0F}\x{200B}-\x{200D}]"
+# What is left after folding and is folded to nothing.
+NOT_ASCII = r"[^\x00-\x7F]+"
 
 # A plain decimal number, and the part before its point.
 NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"
@@ -75,18 +77,37 @@ def _fold_table() -> tuple[str, str]:
     return "".join(singles) + marks, "".join(singles.values())
 
 
+def _several_table() -> dict[str, str]:
+    """Signs that Unicode decomposes to several ASCII characters: fractions, ligatures."""
+    found = {}
+    for code in [*range(0x00A0, 0x0250), *range(0x2000, 0x2200), *range(0xFB00, 0xFB07)]:
+        char = chr(code)
+        base = "".join(
+            c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
+        ).replace("\u2044", "/")
+        if len(base) > 1 and base.isascii() and base.strip() and char not in SINGLE_CHAR_FOLDS:
+            found[char] = base
+    return found | MULTI_CHAR_FOLDS
+
+
 _FROM, _TO = _fold_table()
+_SEVERAL = _several_table()
+_ANY_SEVERAL = f"[{''.join(_SEVERAL)}]"
 
 
 def fold_accents(text: Column) -> Column:
-    """ASCII form of Latin text; null stays null.
+    """ASCII form of text; null stays null.
 
-    Rows that are plain ASCII already skip the folding.
+    Latin letters and signs become their base letters or what they stand for. All else
+    that is not ASCII goes: pictographs, stars, and letters of other scripts. Rows that
+    are plain ASCII already skip the folding.
     """
-    folded = F.translate(text, _FROM, _TO)
-    for char, plain in MULTI_CHAR_FOLDS.items():
-        folded = F.replace(folded, F.lit(char), F.lit(plain))
-    folded = F.regexp_replace(folded, DROPPED, "")
+    one_by_one = F.translate(text, _FROM, _TO)
+    several = one_by_one
+    for char, plain in _SEVERAL.items():
+        several = F.replace(several, F.lit(char), F.lit(plain))
+    folded = F.when(one_by_one.rlike(_ANY_SEVERAL), several).otherwise(one_by_one)
+    folded = F.regexp_replace(folded, NOT_ASCII, "")
     return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(folded)
 
 
@@ -97,7 +118,7 @@ def shout(text: Column) -> Column:
 
 def whole_number(value: Column) -> Column:
     """Integer part of numeric text, null where the text is not a number in range."""
-    trimmed = F.trim(value.cast("string"))
+    trimmed = F.trim(value.cast("string"), F.lit(formats.BLANKS))
     whole = F.regexp_extract(trimmed, WHOLE_PART, 1)
     digits = F.when(whole.isin("", "+", "-"), F.lit("0")).otherwise(whole)
     return F.when(trimmed.rlike(NUMBER), digits.try_cast("int"))

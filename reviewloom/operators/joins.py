@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/SLICES of the rows. Fewer than SLICES
-# keys can, so the list of hot keys always fits a broadcast.
-SLICES = 200
+from reviewloom import session
+from reviewloom.operators import sizing
+
+# A key is hot when its rows take more than one task should hold.
+TASK_BYTES = session.PARTITION_BYTES
 
 PART_SUFFIX = "_part"
 
@@ -24,14 +26,15 @@ def key_tally(frame: DataFrame, key: str) -> DataFrame:
     return frame.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def hot_keys(tally: DataFrame, key: str, slices: int = SLICES) -> DataFrame:
-    """Keys holding more than 1/``slices`` of the tallied rows; fewer than ``slices`` rows.
-
-    ``parts`` is how many pieces of that size the key's rows make.
-    """
-    total = tally.agg(F.sum("n")).scalar()
-    return tally.filter(F.col("n") * slices > total).select(
-        key, F.ceil(F.col("n") * slices / total).cast("int").alias("parts")
+def hot_keys(frame: DataFrame, key: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Keys whose rows take more than ``task_bytes`` as text, and in how many ``parts``
+    of that size they go. Sizes are combined before the shuffle."""
+    return (
+        frame.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.sum(sizing.row_bytes(frame)).alias("bytes"))
+        .filter(F.col("bytes") > task_bytes)
+        .select(key, F.ceil(F.col("bytes") / task_bytes).cast("int").alias("parts"))
     )
 
 
@@ -40,24 +43,28 @@ def salted_join(
     right: DataFrame,
     key: str,
     how: str = "inner",
-    tally: DataFrame | None = None,
-    slices: int = SLICES,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """Equi-join with the hot keys of ``left`` spread over several tasks.
 
     ``right`` has one row per key; only its rows of hot keys are repeated, once
-    per part. ``left`` rows of a key are spread by their content, so exact
-    copies should have been combined before. A join that keeps unmatched right
-    rows would keep each repeat, so those are refused.
+    per part. ``left`` rows of a key are spread by their content and by the
+    partition they come from, so copies are spread too. The list of hot keys
+    is sent to all tasks only if it has been measured to be small. A join that
+    keeps unmatched right rows would keep each repeat, so those are refused.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot keep unmatched right rows: {how}")
     part = f"{key}{PART_SUFFIX}"
-    hot = F.broadcast(hot_keys(key_tally(left, key) if tally is None else tally, key, slices))
+    hot = session.store(hot_keys(left, key, task_bytes))
+    if sizing.is_small(hot):
+        hot = F.broadcast(hot)
     parts = F.coalesce(F.col("parts"), F.lit(1))
+    salt = F.xxhash64(F.spark_partition_id(), *left.columns)
     spread = (
-        left.join(hot, key, "left")
-        .withColumn(part, F.pmod(F.xxhash64(*left.columns), parts).cast("int"))
+        left.withColumn(part, salt)
+        .join(hot, key, "left")
+        .withColumn(part, F.pmod(F.col(part), parts).cast("int"))
         .drop("parts")
     )
     repeated = (
@@ -69,19 +76,23 @@ def salted_join(
 
 
 def rows_with_keys(
-    frame: DataFrame, counted: DataFrame, key: str, total: Column, slices: int = SLICES
+    frame: DataFrame,
+    counted: DataFrame,
+    key: str,
+    how: str = "left_semi",
+    broadcast_limit: int = sizing.BROADCAST_LIMIT,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
-    """Rows of ``frame`` whose key is in ``counted`` (``key``, ``n``), copies included.
+    """Rows of ``frame`` whose key is in ``counted`` (one row per key), copies included;
+    with ``how="left_anti"`` those whose key is not.
 
-    Hot keys are matched by broadcast, where their rows stay in place; only
-    rows of other keys may be shuffled. ``total`` is the row count as a column.
+    Keys that have been measured to be few are sent to the rows, which then stay in
+    place; else rows are matched with hot keys spread over several tasks.
     """
-    is_hot = F.col("n") * slices > total
-    hot = F.broadcast(counted.filter(is_hot).select(key))
-    rare = counted.filter(~is_hot).select(key)
-    return frame.join(hot, key, "left_semi").unionByName(
-        frame.join(hot, key, "left_anti").join(rare, key, "left_semi")
-    )
+    keys = session.store(counted.select(key))
+    if sizing.is_small(keys, broadcast_limit):
+        return frame.join(F.broadcast(keys), key, how)
+    return salted_join(frame, keys, key, how, task_bytes)
 
 
 def outer_in_parts(

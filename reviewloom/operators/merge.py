@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -12,22 +10,9 @@ from pyspark.sql.types import StringType
 from reviewloom.operators import joins, sizing
 from reviewloom.schemas import HISTORY_ENTRY, KEY, PARTITION, PAYLOAD, REVIEW_FIELDS, TRACKED
 
-# Most earlier rows an id may have for its history to be nested in one row. A
-# daily table has one row per id and load date, so this is 27 years of days.
-NEST_LIMIT = 10_000
-
 _CARRIED = tuple(name for name in REVIEW_FIELDS if name != KEY)
 
 
-class Merged(NamedTuple):
-    """``current``: one row per id. ``long_history``: one row per replaced version of
-    the ids whose history is too long to nest, None when there are no such ids; the
-    ``historical_data`` of those ids is null."""
-
-    current: DataFrame
-    long_history: DataFrame | None
-
-
 def differs(name: str) -> Column:
     """New and old value both present and different."""
     return F.coalesce(F.col(f"new_{name}") != F.col(f"old_{name}"), F.lit(False))
@@ -97,12 +82,11 @@ def distinct_versions(history: DataFrame) -> DataFrame:
     )
 
 
-def _replaced(pairs: DataFrame, *extra: str) -> DataFrame:
+def _replaced(pairs: DataFrame) -> DataFrame:
     return pairs.filter(change_flag()).select(
         KEY,
         "first_seen",
         *(F.col(f"old_{name}").cast("string").alias(name) for name in PAYLOAD),
-        *extra,
     )
 
 
@@ -110,8 +94,6 @@ def change_rows(
     new: DataFrame,
     history: DataFrame,
     small: bool = False,
-    tally: DataFrame | None = None,
-    extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per distinct earlier version that ``new`` replaces.
 
@@ -120,24 +102,23 @@ def change_rows(
     made distinct first and joined with hot ids salted.
     """
     batch = new.select(
-        KEY, *(F.col(name).alias(f"new_{name}") for name in TRACKED), *extra
+        KEY, *(F.col(name).alias(f"new_{name}") for name in TRACKED)
     )
     as_old = [F.col(name).alias(f"old_{name}") for name in PAYLOAD]
     if small:
         pairs = history.select(KEY, load_day(history).alias("first_seen"), *as_old).join(
             F.broadcast(batch), KEY
         )
-        found = _replaced(pairs, *extra)
-        return found.groupBy(KEY, *PAYLOAD, *extra).agg(F.min("first_seen").alias("first_seen"))
+        found = _replaced(pairs)
+        return found.groupBy(KEY, *PAYLOAD).agg(F.min("first_seen").alias("first_seen"))
     versions = distinct_versions(history).select(KEY, "first_seen", *as_old)
-    tally = joins.key_tally(history, KEY) if tally is None else tally
-    return _replaced(joins.salted_join(versions, batch, KEY, tally=tally), *extra)
+    return _replaced(joins.salted_join(versions, batch, KEY))
 
 
 def nest_changes(changes: DataFrame) -> DataFrame:
     """Replaced versions of each id as one array, in order of first load date.
 
-    The array has at most one entry per earlier row of the id; see ``NEST_LIMIT``.
+    The array has at most one entry per load date, as a stored day has one row per id.
     """
     ordered = F.sort_array(F.collect_list(F.struct("first_seen", *PAYLOAD)))
     entries = F.transform(ordered, lambda e: F.struct(*(e[name].alias(name) for name in PAYLOAD)))
@@ -167,9 +148,8 @@ def merge_snapshots(
     history: DataFrame,
     tally: DataFrame | None = None,
     broadcast_limit: int = sizing.BROADCAST_LIMIT,
-    nest_limit: int = NEST_LIMIT,
     prune: bool = False,
-) -> Merged:
+) -> DataFrame:
     """Merge one day's reviews (one row per non-null id) with the earlier ones.
 
     ``tally`` is ``tally_history(history)``, given by callers that have stored
@@ -183,23 +163,8 @@ def merge_snapshots(
     if not small and sizing.is_small(new.select(KEY), broadcast_limit):
         # the ids alone can be sent to the history: others are not shuffled
         history = history.join(F.broadcast(new.select(KEY)), KEY, "left_semi")
-    overlong = tally.filter(F.col("n") > nest_limit).select(KEY, F.lit(True).alias("overlong"))
-    counted = tally.select(KEY, "n")
-    if overlong.isEmpty():
-        nested = nest_changes(change_rows(new, history, small, counted))
-        return Merged(_without_gaps(current_snapshot(new, latest, nested)), None)
-    flagged = new.join(overlong, KEY, "left")
-    changes = change_rows(flagged, history, small, counted, extra=("overlong",))
-    nested = nest_changes(changes.filter(F.col("overlong").isNull()))
-    current = _without_gaps(current_snapshot(new, latest, nested)).join(
-        flagged.filter("overlong").select(KEY, "overlong"), KEY, "left"
-    )
-    return Merged(
-        current.withColumn(
-            "historical_data", F.when(F.col("overlong").isNull(), F.col("historical_data"))
-        ).drop("overlong"),
-        changes.filter("overlong").drop("overlong"),
-    )
+    nested = nest_changes(change_rows(new, history, small))
+    return _without_gaps(current_snapshot(new, latest, nested))
 
 
 def _without_gaps(snapshot: DataFrame) -> DataFrame:

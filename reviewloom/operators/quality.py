@@ -34,27 +34,17 @@ def duplicate_keys(frame: DataFrame, key: str = KEY) -> DataFrame:
 
 def duplicate_records(frame: DataFrame, key: str = KEY) -> DataFrame:
     """Every copy of the rows whose key repeats."""
-    total = frame.agg(F.count(F.lit(1))).scalar()
-    return joins.rows_with_keys(frame, duplicate_keys(frame, key), key, total)
+    return joins.rows_with_keys(frame, duplicate_keys(frame, key), key)
 
 
 def unique_rows(frame: DataFrame, key: str = KEY) -> DataFrame:
     """Rows whose non-null key occurs once.
 
-    Copies of a repeated key are combined before the shuffle, so a key that
-    holds much of the data costs one row per task.
+    Only keys are counted; the rows are then kept where they are, unless the repeated
+    keys are too many to be sent to them.
     """
-    rest = [name for name in frame.columns if name != key]
-    return (
-        frame.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias(f"{key}_copies"),
-            *(F.any_value(name).alias(name) for name in rest),
-        )
-        .filter(F.col(f"{key}_copies") == 1)
-        .select(*frame.columns)
-    )
+    keyed = frame.filter(F.col(key).isNotNull())
+    return joins.rows_with_keys(keyed, duplicate_keys(keyed, key), key, "left_anti")
 
 
 def is_complete(required: Sequence[str] = REQUIRED) -> Column:

@@ -7,7 +7,7 @@ import re
 from dataclasses import dataclass
 
 from reviewloom.functions import paths
-from reviewloom.operators import merge, sizing
+from reviewloom.operators import sizing
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,6 @@ class RunConfig:
     fail_index: str = "datametrics_fail"
     sample_env: str = "pre"
     broadcast_limit: int = sizing.BROADCAST_LIMIT
-    nest_limit: int = merge.NEST_LIMIT
     labels: Labels = Labels()
 
     def __post_init__(self) -> None:
@@ -60,8 +59,3 @@ class RunConfig:
     @property
     def quarantine_path(self) -> str:
         return posixpath.join(self.quarantine, self.store)
-
-    @property
-    def long_history_path(self) -> str:
-        """Beside the silver table, for ids whose history is not nested."""
-        return posixpath.join(self.silver, f"{self.store}_long_history")

@@ -15,7 +15,7 @@ from reviewloom.plans import documents
 from reviewloom.plans.config import RunConfig
 from reviewloom.plans.stage_metrics import StageMetrics
 from reviewloom.sinks import metrics, partitions
-from reviewloom.sources import bronze, history, parquet
+from reviewloom.sources import bronze, history
 
 log = logging.getLogger(__name__)
 
@@ -23,14 +23,13 @@ log = logging.getLogger(__name__)
 class Curated(NamedTuple):
     valid: DataFrame
     invalid: DataFrame
-    long_history: DataFrame | None
     report: DataFrame
     counts: DataFrame
 
 
 def read_batch(spark: SparkSession, config: RunConfig) -> DataFrame:
     """Raw reviews of the load date, all segments."""
-    return bronze.read_segments(spark, config.segment_globs(), store=config.store)
+    return bronze.read_segments(spark, config.segment_globs(), store=config.store, segments=config.segments)
 
 
 def curate(spark: SparkSession, batch: DataFrame, config: RunConfig) -> Curated:
@@ -44,9 +43,7 @@ def curate(spark: SparkSession, batch: DataFrame, config: RunConfig) -> Curated:
     new = session.store(standard.select(*schemas.REVIEW_FIELDS))
     earlier = history.read_history(spark, config.silver_path, config.as_of)
     tally = session.store(merge.tally_history(earlier))
-    merged, long_history = merge.merge_snapshots(
-        new, earlier, tally, config.broadcast_limit, config.nest_limit, prune=True
-    )
+    merged = merge.merge_snapshots(new, earlier, tally, config.broadcast_limit, prune=True)
     current = session.store(conform(merged, schemas.SILVER))
     valid = current.filter(quality.is_complete())
     incomplete = current.filter(~quality.is_complete()).withColumn(
@@ -57,7 +54,7 @@ def curate(spark: SparkSession, batch: DataFrame, config: RunConfig) -> Curated:
     )
     invalid = conform(rejected, schemas.QUARANTINE).unionByName(incomplete)
     counts = _run_counts(spark, batch, current)
-    return Curated(valid, invalid, long_history, quality.validation_report(counts), counts)
+    return Curated(valid, invalid, quality.validation_report(counts), counts)
 
 
 def _run_counts(spark: SparkSession, batch: DataFrame, current: DataFrame) -> DataFrame:
@@ -91,7 +88,7 @@ def _run_counts(spark: SparkSession, batch: DataFrame, current: DataFrame) -> Da
 
 
 def save(curated: Curated, config: RunConfig) -> None:
-    """Write both tables; ids with an overlong history also get their versions as rows."""
+    """Write both tables."""
     counted = curated.counts.first()
     partitions.write_load_date(
         curated.valid,
@@ -103,12 +100,6 @@ def save(curated: Curated, config: RunConfig) -> None:
     partitions.write_load_date(
         curated.invalid, config.quarantine_path, config.as_of, has_rows=counted["invalid"] > 0
     )
-    long_history = curated.long_history
-    if long_history is None:
-        long_history = parquet.empty(curated.valid.sparkSession, schemas.LONG_HISTORY)
-    partitions.write_load_date(
-        long_history, config.long_history_path, config.as_of, schemas.LONG_HISTORY
-    )
 
 
 def run(spark: SparkSession, config: RunConfig) -> Curated:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import posixpath
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,16 +41,17 @@ def configure(
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name below the shared folder of ``spark.checkpoint.dir``.
+    """A new folder name below a folder that all executors share.
 
-    Where that is unset, a local session gets a temporary folder; a cluster
-    session has no folder all executors see, so it is refused.
+    That is ``spark.checkpoint.dir``, else the warehouse folder. A cluster session
+    without either is refused: the default warehouse folder is local to the driver.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        shared = spark.conf.get("spark.sql.warehouse.dir", None)
+        local = spark.sparkContext.master.startswith("local")
+        if shared is None or not local and shared.startswith("file:"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="reviewloom-")
     return posixpath.join(shared, f"reviewloom-{uuid.uuid4().hex}")
 
 

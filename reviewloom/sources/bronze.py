@@ -18,6 +18,7 @@ def read_reviews(
     path: str,
     schema: StructType = schemas.BRONZE,
     store: str = paths.STORE,
+    segments: tuple[str, ...] = paths.SEGMENTS,
 ) -> DataFrame:
     """Reviews below ``path`` with ``app`` and ``segmento`` taken from the file path."""
     found = parquet.scan(spark, path, schema)
@@ -29,7 +30,7 @@ def read_reviews(
     return found.select(
         *schema.fieldNames(),
         paths.app_of(origin, store).alias("app"),
-        paths.segment_of(origin).alias("segmento"),
+        paths.segment_of(origin, segments).alias("segmento"),
     )
 
 

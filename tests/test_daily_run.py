@@ -129,18 +129,17 @@ def test_first_day_without_data(lake, tmp_path):
     assert document["type_client"] == "NA"
 
 
-def test_overlong_histories_go_to_their_own_table(spark, lake):
+def test_a_configured_segment_is_stored(lake):
+    lake.load("20240101", "bank_mei", review("1"))
+    lake.run("20240101", segments=("pf", "mei"))
+    assert lake.silver("20240101")["1"]["segmento"] == "mei"
+
+
+def test_long_histories_stay_nested(lake):
     for day in range(1, 5):
         lake.load(f"2024010{day}", "bank_pf", review("1", title=f"t{day}"))
-        lake.run(f"2024010{day}", nest_limit=2)
-    assert len(lake.silver("20240103")["1"]["historical_data"]) == 2
-    assert lake.silver("20240104")["1"]["historical_data"] is None
-    rows = spark.read.parquet(lake.config("20240104").long_history_path).collect()
-    assert sorted((r["title"], str(r["odate"])) for r in rows) == [
-        ("T1", "20240104"),
-        ("T2", "20240104"),
-        ("T3", "20240104"),
-    ]
+        lake.run(f"2024010{day}")
+    assert len(lake.silver("20240104")["1"]["historical_data"]) == 3
 
 
 def test_failure_is_recorded_and_raised(lake, spark, tmp_path):

@@ -12,7 +12,7 @@ def one(spark, value, column, type_="string"):
 @pytest.mark.parametrize(
     "given, expected",
     [
-        ("Está na hora de atualizar...", "ESTA NA HORA DE ATUALIZAR..."),
+        ("Não abre às vezes.", "NAO ABRE AS VEZES."),
         ("ÄÇÈÉÊÍÑÓÖÜäçèéêíñóöü", "ACEEEINOOUACEEEINOOU"),
         ("Straße", "STRASSE"),
         ("æ ø œ đ ł", "AE O OE D L"),
@@ -21,6 +21,9 @@ def one(spark, value, column, type_="string"):
         ("bom 👍🏽 ❤️ fim", "BOM   FIM"),
         ("“é” – ‘ok’…", "\"E\" - 'OK'..."),
         ("«10 €» — 5°\u00a0• d´água", "<<10 EUR>> -- 5DEG * D'AGUA"),
+        ("⭐⭐ bom", " BOM"),
+        ("½ ĳ ﬁm ™", "1/2 IJ FIM TM"),
+        ("ok Привет да Ωmega", "OK   MEGA"),
         ("e\u0301", "E"),
         ("plain", "PLAIN"),
         ("", ""),
@@ -36,6 +39,7 @@ def test_shout(spark, given, expected):
     [
         ("4", 4),
         (" 3 ", 3),
+        ("\t4\n", 4),
         ("4.7", 4),
         (".5", 0),
         ("-2.", -2),

@@ -68,7 +68,7 @@ def test_changes_of_each_tracked_field(spark, limit):
     names = ("same title content version rating both untracked from_null".split())
     new = batch(spark, *(row(n) for n in names), row("to_null", title=None), row("fresh"))
     old = old.unionByName(past(spark, ("20240101", row("to_null"))))
-    found = histories(merge.merge_snapshots(new, old, broadcast_limit=limit).current)
+    found = histories(merge.merge_snapshots(new, old, broadcast_limit=limit))
     assert found == {
         "same": [],
         "title": [entry(title="OLD")],
@@ -93,8 +93,7 @@ def test_history_is_distinct_and_in_order(spark, limit):
         ("20240104", row("1", title="T")),
     )
     merged = merge.merge_snapshots(batch(spark, row("1")), old, broadcast_limit=limit)
-    assert histories(merged.current) == {"1": [entry(title="B"), entry(title="A")]}
-    assert merged.long_history is None
+    assert histories(merged) == {"1": [entry(title="B"), entry(title="A")]}
 
 
 def test_new_values_win_and_gaps_are_filled_from_the_newest_old_row(spark, limit):
@@ -105,7 +104,7 @@ def test_new_values_win_and_gaps_are_filled_from_the_newest_old_row(spark, limit
         ("20240102", row("2", name_client="BEA", segmento="pj", updated="u9")),
     )
     new = batch(spark, row("1", title=None, updated="u3", im_rating="2"))
-    current = merge.merge_snapshots(new, old, broadcast_limit=limit).current
+    current = merge.merge_snapshots(new, old, broadcast_limit=limit)
     found = {r["id"]: r for r in current.collect()}
     assert (found["1"]["title"], found["1"]["updated"], found["1"]["im_rating"]) == (
         "NEWEST",
@@ -120,11 +119,11 @@ def test_empty_sides(spark, limit):
     nothing_old = past(spark, ("20240101", row("1"))).limit(0)
     nothing_new = batch(spark, row("1")).limit(0)
     only_new = merge.merge_snapshots(batch(spark, row("1")), nothing_old, broadcast_limit=limit)
-    assert histories(only_new.current) == {"1": []}
+    assert histories(only_new) == {"1": []}
     only_old = merge.merge_snapshots(
         nothing_new, past(spark, ("20240101", row("2"))), broadcast_limit=limit
     )
-    assert histories(only_old.current) == {"2": []}
+    assert histories(only_old) == {"2": []}
 
 
 def test_merging_a_snapshot_with_itself_changes_nothing(spark, limit):
@@ -132,27 +131,8 @@ def test_merging_a_snapshot_with_itself_changes_nothing(spark, limit):
     merged = merge.merge_snapshots(
         batch(spark, *rows), past(spark, *(("20240101", r) for r in rows)), broadcast_limit=limit
     )
-    assert all(h == [] for h in histories(merged.current).values())
-    assert sorted(tuple(r)[:-1] for r in merged.current.select(*FIELDS, "historical_data").collect()) == sorted(rows)
-
-
-def test_overlong_history_is_kept_as_rows(spark, limit):
-    old = past(
-        spark,
-        *((f"202401{d:02}", row("long", title=f"T{d}")) for d in range(1, 11)),
-        *((f"202401{d:02}", row("short", title=f"T{d}")) for d in range(1, 4)),
-        *((f"202401{d:02}", row("gone", title=f"T{d}")) for d in range(1, 11)),
-    )
-    new = batch(spark, row("long"), row("short"))
-    whole = merge.merge_snapshots(new, old, broadcast_limit=limit)
-    split = merge.merge_snapshots(new, old, broadcast_limit=limit, nest_limit=5)
-    nested = histories(split.current)
-    assert nested["long"] is None
-    assert nested["short"] == histories(whole.current)["short"]
-    assert nested["gone"] == []
-    kept = split.long_history.orderBy("first_seen").collect()
-    assert [r["id"] for r in kept] == ["long"] * 10
-    assert [tuple(r[n] for n in schemas.PAYLOAD) for r in kept] == histories(whole.current)["long"]
+    assert all(h == [] for h in histories(merged).values())
+    assert sorted(tuple(r)[:-1] for r in merged.select(*FIELDS, "historical_data").collect()) == sorted(rows)
 
 
 def test_pruned_newest_rows_are_the_same(spark, rows_of):
@@ -165,7 +145,7 @@ def test_pruned_newest_rows_are_the_same(spark, rows_of):
     new = batch(spark, row("1"))
     plain = merge.merge_snapshots(new, old)
     pruned = merge.merge_snapshots(new, old, prune=True)
-    assert rows_of(pruned.current) == rows_of(plain.current)
+    assert rows_of(pruned) == rows_of(plain)
 
 
 def test_only_needed_folders_are_read_for_newest_rows(spark, tmp_path):
@@ -216,16 +196,19 @@ def test_salted_join_equals_plain_join(skewed, rows_of, how):
     assert rows_of(joins.salted_join(left, right, "k", how)) == rows_of(left.join(right, "k", how))
 
 
-def test_salted_join_spreads_the_hot_key_only(skewed):
-    left, _ = skewed
-    hot = joins.hot_keys(joins.key_tally(left, "k"), "k", slices=10).collect()
-    assert [(r["k"], r["parts"]) for r in hot] == [("hot", 4)]
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_spread_join_equals_plain_join(skewed, rows_of, how):
+    left, right = skewed
+    found = joins.salted_join(left, right, "k", how, task_bytes=200)
+    assert rows_of(found) == rows_of(left.join(right, "k", how))
 
 
-def test_hot_keys_stay_fewer_than_slices(spark):
-    even = spark.range(1000).select((F.col("id") % 10).alias("k"))
-    assert joins.hot_keys(joins.key_tally(even, "k"), "k", slices=10).count() == 0
-    assert joins.hot_keys(joins.key_tally(even, "k"), "k", slices=11).count() == 10
+def test_hot_keys_follow_bytes_per_task(spark):
+    """A key of 0.3 % of the rows is hot where it takes more than a task should hold."""
+    key = F.when(F.col("id") < 30, F.lit("warm")).otherwise(F.concat(F.lit("k"), "id"))
+    frame = spark.range(10_000).select(key.alias("k"), F.lit("x" * 96).alias("v"))
+    assert [tuple(r) for r in joins.hot_keys(frame, "k", 1000).collect()] == [("warm", 3)]
+    assert joins.hot_keys(frame, "k", 3000).count() == 0
 
 
 def test_salted_join_refuses_full_outer(skewed):
@@ -246,8 +229,11 @@ def test_rows_with_keys_keeps_copies_of_hot_keys(spark, rows_of):
         "k string, v string",
     )
     repeated = joins.key_tally(frame, "k").filter("n > 1")
-    found = joins.rows_with_keys(frame, repeated, "k", F.lit(92), slices=10)
-    assert rows_of(found) == [("hot", "x")] * 40 + [("rare", "y")] * 2
+    for options in ({}, {"broadcast_limit": 0}, {"broadcast_limit": 0, "task_bytes": 50}):
+        found = joins.rows_with_keys(frame, repeated, "k", **options)
+        assert rows_of(found) == [("hot", "x")] * 40 + [("rare", "y")] * 2
+        rest = joins.rows_with_keys(frame, repeated, "k", "left_anti", **options)
+        assert rest.count() == 50
 
 
 def brute_force(new_rows, dated_rows):
@@ -302,6 +288,6 @@ def test_random_merge_equals_brute_force(spark, limit):
     merged = merge.merge_snapshots(batch(spark, *new), past(spark, *dated), broadcast_limit=limit)
     found = {
         r["id"]: (tuple(r[n] for n in FIELDS), [tuple(e) for e in r["historical_data"]])
-        for r in merged.current.collect()
+        for r in merged.collect()
     }
     assert found == brute_force(new, dated)

@@ -142,5 +142,6 @@ def test_conform_orders_casts_and_drops(spark):
 def test_frame_bytes(spark):
     rows = spark.createDataFrame([("é", 10, [1, 2]), (None, 1, None)], "s string, n int, a array<int>")
     assert sizing.frame_bytes(rows).first()["bytes"] == 2 + 2 + len("[1,2]") + 1
-    assert sizing.is_small(rows, 10) and not sizing.is_small(rows, 9)
+    cost = 10 + 2 * (sizing.ROW_COST + 3 * sizing.COLUMN_COST)
+    assert sizing.is_small(rows, cost) and not sizing.is_small(rows, cost - 1)
     assert sizing.is_small(rows.limit(0), 0)
