@@ -158,6 +158,14 @@ def _by_neighbours(members: DataFrame, low: int, bits: int) -> DataFrame:
     )
 
 
+def _rooted(named: DataFrame) -> DataFrame:
+    """A stored table of distinct ``bits`` with the ``root`` of each one's group."""
+    found = components(links(named.select("bits")))
+    return named.join(
+        found.select(F.col("node").alias("bits"), F.col("component").alias("root")), "bits", "left"
+    ).withColumn("root", F.coalesce("root", "bits"))
+
+
 def near_copies(documents: DataFrame) -> DataFrame:
     """Per document its ``bits`` (signed fingerprint) and ``component``.
 
@@ -171,10 +179,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     bounded_batches(documents.sparkSession)
     rows = session.store(documents.select("doc_id", fingerprinted(F.col("text")).alias("bits")))
     named = session.store(rows.groupBy("bits").agg(F.min("doc_id").alias("first")))
-    found = components(links(named.select("bits")))
-    reached = named.join(
-        found.select(F.col("node").alias("bits"), F.col("component").alias("root")), "bits", "left"
-    ).withColumn("root", F.coalesce("root", "bits"))
+    reached = _rooted(named)
     smallest = reached.groupBy("root").agg(F.min("first").alias("component"))
     members = reached.join(smallest, "root").select("bits", "component")
     # a fingerprint may hold a third of the rows, so its rows stay in place where it can be sent
@@ -193,13 +198,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def representatives(documents: DataFrame) -> DataFrame:
     """One document of each group of near copies, all columns as they were.
 
-    The one with the group's smallest id stays; of rows that repeat that id, one. Rows
-    with a null id in a group with ids go; a group of null ids keeps one row.
+    The one with the group's smallest id stays, null last; of different texts with that id
+    the one with the smallest digest, of rows that repeat id and text one. Rows with a null
+    id in a group with ids go; each group of null ids keeps one row.
     """
-    rows = documents.select(F.struct("*").alias("doc"), F.col("doc_id"))
-    groups = near_copies(documents.select("doc_id", "text"))
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component"))).select(
-        F.col("doc_id").alias("kept_id"), "component"
-    ).distinct()
-    one = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return one.dropDuplicates(["doc_id"]).select("doc.*")
+    bounded_batches(documents.sparkSession)
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
+    rows = session.store(
+        documents.select("doc_id", digest, fingerprinted(F.col("text")).alias("bits"))
+    )
+    age = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    named = session.store(rows.groupBy("bits").agg(F.min(age).alias("first")))
+    # id and digest fix the text and so the group: they are one row per group
+    kept = _rooted(named).groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("kept_id"), F.col("first.digest").alias("kept_digest")
+    )
+    whole = documents.select(F.struct("*").alias("doc"), F.col("doc_id"), digest)
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+    one = whole.join(kept, same, "left_semi")
+    return one.dropDuplicates(["doc_id", "digest"]).select("doc.*")

@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from reviewloom.llm import (
     chat,
     decontamination,
@@ -171,6 +172,43 @@ def test_simhash(odd):
     assert simhash.representatives(frame).columns == frame.columns
 
 
+def groups_with_shared_ids():
+    """Ten groups of near copies: null ids, ids of two groups, repeated rows."""
+    rng = random.Random(6)
+    text = lambda: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(120))
+    base = [text() for _ in range(10)]
+    near = [t.replace(" ", "  ", 3) for t in base]  # the same words
+    ids = [(None, None), (None, None), (None, 5), (5, 5), (5, 6), (7, None), (7, 7), (8, 1), (None, None), (2, 2)]
+    rows = [(i, t) for a, b, (x, y) in zip(base, near, ids) for i, t in ((x, a), (y, b))]
+    return rows + [rows[0], rows[6], rows[6]]
+
+
+def one_per_group(rows):
+    groups = collections.defaultdict(list)
+    prints = {text: fingerprint(text) for _, text in rows}
+    group = linked(set(prints.values()))
+    for doc_id, text in rows:
+        groups[group[prints[text]]].append((doc_id is None, doc_id or 0, sha(text), doc_id, text))
+    return sorted((min(g)[3:] for g in groups.values()), key=repr)
+
+
+def test_every_group_keeps_one_row(spark):
+    rows = groups_with_shared_ids()
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(map(tuple, simhash.representatives(frame).collect()), key=repr)
+    assert got == one_per_group(rows) and len(got) == 10
+
+
+def test_pipeline_keeps_every_group(spark, tmp_path):
+    rows = groups_with_shared_ids()
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    item = "Seven small boats drift past the harbour wall while the tide turns slowly away tonight."
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["text"]) for r in got} == set(one_per_group(rows))
+
+
 @pytest.mark.parametrize("pairwise", [1024, 3])
 def test_links_of_a_family(spark, pairwise):
     rng = random.Random(5)
