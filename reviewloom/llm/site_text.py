@@ -9,12 +9,16 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64
+from xxhash import xxh64, xxh128
 
+from reviewloom import session
 from reviewloom.llm.common import bounded_batches
 
-# An element subtree on at least this many pages of a host belongs to its template.
+# An element subtree on at least this many different pages of a host belongs to its
+# template; on a host with few pages, one on this share of them and on a few at least.
 MANY_PAGES = 10
+MOST_PAGES = 0.5
+FEW_PAGES = 3
 
 # Element names.
 _RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "xmp")
@@ -51,10 +55,12 @@ _MARKUP = re.compile(
 
 
 class _Element:
-    __slots__ = ("name", "hash", "blocks", "hidden", "article")
+    __slots__ = ("name", "hash", "blocks", "hidden", "article", "inside", "holds")
 
-    def __init__(self, name: str, blocks: int, hidden: bool, article: bool):
+    def __init__(self, name: str, blocks: int, hidden: bool, article: bool, inside: bool):
         self.name, self.blocks, self.hidden, self.article = name, blocks, hidden, article
+        # stands in, or has in it, writing of an article
+        self.inside, self.holds = inside, False
         self.hash = xxh64(name)
 
 
@@ -71,7 +77,7 @@ class Page:
         self.subtrees: set[int] = set()
         self.blocks: list[tuple[bool, str]] = []
         self.words: list[str] = []
-        self.open: list[_Element] = [_Element("", 0, False, False)]
+        self.open: list[_Element] = [_Element("", 0, False, False, False)]
         self.has_article = False
         at = 0
         for mark in _MARKUP.finditer(source):
@@ -128,7 +134,8 @@ class Page:
         hidden = top.hidden or name in _NEVER or (name == "header" and not article)
         if not hidden and rest and name not in ("html", "body", "main", "article"):
             hidden = any(_NEVER_NAMED.search(a or b or c) for a, b, c in _NAMES.findall(rest))
-        self.open.append(_Element(name, len(self.blocks), hidden, article))
+        inside = top.inside or (article and name in _WRITING)
+        self.open.append(_Element(name, len(self.blocks), hidden, article, inside))
 
     def _end_open(self, names: set[str]) -> None:
         """End the innermost of these that is open within its container."""
@@ -155,9 +162,11 @@ class Page:
         self.open.pop()
         value = element.hash.intdigest()
         self.open[-1].hash.update(value.to_bytes(8, "little"))
+        element.holds |= element.inside and len(self.blocks) > element.blocks
+        self.open[-1].holds |= element.holds
         if element.name not in _BLOCKS or element.name in ("html", "body", "main", "article"):
             return
-        if element.article and element.name in _WRITING:
+        if element.inside or element.holds:
             return
         signed = value - (1 << 64) if value >> 63 else value
         self.subtrees.add(signed)
@@ -169,9 +178,13 @@ def _udf(function: Callable, kind: str) -> Callable:
     return F.pandas_udf(function, kind)
 
 
-def _subtrees(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.Series([sorted(Page(source).subtrees) for source in batch], dtype=object)
+        found = [Page(source) for source in batch]
+        # none stands for the page itself
+        subtrees = [[None, *sorted(page.subtrees)] for page in found]
+        contents = [xxh128(page.text).digest() for page in found]
+        yield pd.DataFrame({"content": contents, "subtrees": subtrees})
 
 
 def _main_text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -188,12 +201,14 @@ def _main_text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Se
 def main_texts(pages: DataFrame, many: int = MANY_PAGES) -> DataFrame:
     """Per page its main text (``text``, empty if none) and its code points (``n_chars``).
 
-    The hashes of a page's element subtrees are counted per host, each once a page, and
-    combined before the shuffle. Subtrees on ``many`` or more pages of a host are deleted
-    from its pages, with what markup and names say is no main text. In an article's own
-    text blocks nothing is deleted for recurring. One row per input row: repeated rows
-    count as pages of their own, null ids and urls are values like others, a null or empty
-    page has no text. An empty table gives an empty result; other columns are not read.
+    The hashes of a page's element subtrees are counted per host, each once for every
+    different text of a page, and combined before the shuffle: copies of a page, in repeated
+    rows or under several urls, count once. Subtrees on ``many`` or more different pages of
+    a host, or on most of a host's few, are deleted from its pages, with what markup and
+    names say is no main text. An article's own text blocks, and elements that hold any,
+    are not deleted for recurring. One row per input row, null ids and urls are values like
+    others, a null or empty page has no text. An empty table gives an empty result; other
+    columns are not read.
     """
     bounded_batches(pages.sparkSession)
     source = F.coalesce("html", F.lit(""))
@@ -201,11 +216,21 @@ def main_texts(pages: DataFrame, many: int = MANY_PAGES) -> DataFrame:
     rows = pages.select(
         "page_id", "url", source.alias("html"), host.alias("host"), F.xxhash64("url", source).alias("page")
     )
-    subtrees = _udf(_subtrees, "array<bigint>")(F.col("html"))
-    elements = rows.select("host", "page", F.explode(subtrees).alias("subtree"))
+    parsed = _udf(_parsed, "content binary, subtrees array<bigint>")(F.col("html"))
+    elements = rows.select("host", "page", parsed.alias("parsed")).select(
+        "host", "page", F.col("parsed.content").alias("content"), F.explode("parsed.subtrees").alias("subtree")
+    )
+    counted = session.store(
+        elements.groupBy("host", "subtree", "content").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("pages"))
+        .filter(F.col("subtree").isNull() | (F.col("pages") >= min(many, FEW_PAGES)))
+    )
+    hosts = counted.filter(F.col("subtree").isNull()).select("host", F.col("pages").alias("all"))
+    most = F.greatest(F.lit(FEW_PAGES), F.ceil(F.col("all") * MOST_PAGES))
     template = (
-        elements.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("pages"))
-        .filter(F.col("pages") >= many)
+        counted.filter(F.col("subtree").isNotNull()).join(hosts, "host")
+        .filter(F.col("pages") >= F.least(F.lit(many), most))
+        .select("host", "subtree")
     )
     # copies of a page are one row here; a page has no more entries than elements
     marked = (

@@ -306,6 +306,28 @@ def test_site_text(spark):
     assert got == collections.Counter(want)
 
 
+def test_site_text_of_copies_and_small_sites(spark):
+    def html(i, chrome="all rights"):
+        return f"<body><div>top</div><section><p>story {i}</p></section><div>{chrome}</div>"
+
+    def article(i):
+        listed = "<ul><li>one</li><li><div>two</div></li></ul>"
+        return f"<article><h1>{i}</h1><div><p>the same words</p></div>{listed}<div>like it</div></article>"
+
+    # one page many times, of a site of one page and of a site of two
+    rows = [(i, f"http://copies.org/{i}", html(0)) for i in range(30)] + [(30, "http://copies.org/0", html(0))] * 12
+    rows += [(40 + i, f"http://two.org/{i}", html(i % 2)) for i in range(30)]
+    rows += [(80 + i, f"http://four.org/{i}", html(i)) for i in range(4)]
+    rows += [(100 + i, f"http://articles.org/{i}", article(i)) for i in range(15)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = collections.Counter((r["page_id"], r["text"]) for r in site_text.main_texts(frame).collect())
+    want = [(r[0], "top\nstory 0\nall rights") for r in rows[:42]]
+    want += [(40 + i, f"top\nstory {i % 2}\nall rights") for i in range(30)]
+    want += [(80 + i, f"story {i}") for i in range(4)]
+    want += [(100 + i, f"{i}\nthe same words\none\ntwo") for i in range(15)]
+    assert got == collections.Counter(want)
+
+
 def test_chat(spark):
     rng = random.Random(3)
     parts = ["<|im_end|>", "<", "|", "\\", "[INST]", "[", "/INST]", "</s>", "s>", "é", "\n", "<|im_start|>user\n"]
