@@ -264,6 +264,31 @@ def test_repeats(spark, odd, crowded):
     assert repeats.without_repeats(odd[0]).count() == len(odd[1])
 
 
+@pytest.mark.parametrize("doc_id", [None, 5])
+@pytest.mark.parametrize("crowded", [4096, 2])
+def test_repeats_of_documents_with_one_id(spark, doc_id, crowded):
+    """Texts of one id that agree in the first 20 bits of their xxhash64, as many do by chance."""
+    rng = random.Random(8)
+    shared = "".join(rng.choices("abcdefgh", k=150))
+    texts = [shared + f"{i:05d}" + ("x" * 40 if i % 2 else "") for i in range(4000)]
+    ties = collections.defaultdict(list)
+    for text in texts:
+        ties[xxhash.xxh64_intdigest(text, 42) >> 44].append(text)
+    same = next(group[:2] for group in ties.values() if len(group) > 1)
+    rows = [(doc_id, text) for text in [*same, same[0], "".join(rng.choices("ijklmnop", k=180))]]
+    got = repeats.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), crowded).collect()
+    left = collections.Counter((r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got)
+    # the shared beginning goes from one of the two texts; a repeated row is one document
+    whole = lambda text: (0, 0, sha(text))
+    a, b, other = same[0], same[1], rows[3][1]
+    n = next(i for i, (x, y) in enumerate(zip(a, b)) if x != y)
+    cut = lambda text: (n, 1, sha(text[n:]))
+    assert left in (
+        collections.Counter([whole(a), whole(a), cut(b), whole(other)]),
+        collections.Counter([cut(a), cut(a), whole(b), whole(other)]),
+    )
+
+
 def test_decontamination(spark, odd):
     frame, rows = odd
     item = "Seven small boats drift past the harbour wall while the tide turns slowly away tonight."
