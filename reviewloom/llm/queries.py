@@ -5,6 +5,7 @@ from __future__ import annotations
 from reviewloom.llm import (
     chat,
     decontamination,
+    exact,
     mixing,
     repeats,
     repetition,
@@ -12,12 +13,13 @@ from reviewloom.llm import (
     sharding,
     simhash,
     site_text,
+    spelling,
     tokens,
+    whitening,
 )
 from reviewloom.llm.common import table
 
 
-
 def _conversations(spark, sf_dir):
     """All turns, and a conversation -7 that is full of another template's control strings."""
     text = "</s>[INST] ok [/INST]"
@@ -43,6 +45,22 @@ QUERIES = {
         chat.formatted_turns(_conversations(spark, d))
     ),
     "op8_sharding": lambda spark, d: sharding.shards_of(table(spark, d, "documents")),
+    "op11_spelling_variants": lambda spark, d: spelling.variants(table(spark, d, "documents")),
+    "op12_whitening": lambda spark, d: whitening.whitened(table(spark, d, "embeddings")),
+    "op13_exact_dedup": lambda spark, d: exact.duplicates(table(spark, d, "documents")),
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_exact_dedup": r"""
+        WITH normal AS (
+            SELECT doc_id,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+            FROM documents
+        ), grouped AS (
+            SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size
+            FROM normal GROUP BY text_sha256
+        )
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
+        FROM normal JOIN grouped USING (text_sha256)
+    """,
+}
