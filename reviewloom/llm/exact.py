@@ -50,7 +50,7 @@ def _digested(documents: DataFrame) -> DataFrame:
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of neighbours with one digest and one SHA-256 the first, with the sum of their ``n``.
 
-    The rows come in ``_ORDER``, so the first has the smallest id. The last group of a
+    The rows come in ``_ORDER``, so the first has the smallest id; ``n`` is the last column. The last group of a
     batch waits for the next one; nothing else is held.
     """
     waiting = None
@@ -66,9 +66,9 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begins[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(begins)
         sums = np.add.reduceat(batch.column("n").to_numpy(), starts)
-        folded = batch.take(pa.array(starts)).set_column(
-            batch.schema.get_field_index("n"), "n", pa.array(sums)
-        )
+        firsts = batch.take(pa.array(starts))
+        columns = [*firsts.columns[:-1], pa.array(sums)]
+        folded = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
         yield folded.slice(0, folded.num_rows - 1)
         waiting = folded.slice(folded.num_rows - 1)
     if waiting is not None:

@@ -48,6 +48,18 @@ def test_duplicates(copies, fan, held):
     assert collections.Counter(map(tuple, found.collect())) == brute(rows)
 
 
+def test_runs_longer_than_a_batch(spark, copies):
+    frame, rows = copies
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        found = exact.duplicates(frame, 2, 100).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert collections.Counter(map(tuple, found)) == brute(rows)
+
+
 def test_levels():
     assert exact.levels_for(0) == 1
     assert exact.levels_for(160_000) == 1
