@@ -46,22 +46,22 @@ def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def checked_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """The same reviews for the checks, with a digest of the whole text as key.
+    """The same reviews, whole, for the checks, with a digest of the text as key.
 
-    Ids are unique in the documents and texts are not, so the text is what can
-    repeat. The checks only ask whether there is content, so a mark stands for
-    it; with a digest as key, no text is shuffled.
+    Ids are unique in the documents and texts are not, so the text is what can repeat.
     """
-    return _rated(
-        spark,
-        folder,
-        id=F.col("doc_id").cast("string"),
-        name_client=F.col("source"),
-        text_key=F.sha2("text", 256),
-        content=F.when(F.col("text").isNotNull(), F.lit("present")),
-        im_version=F.col("n_chars").cast("string"),
-        segmento=F.col("lang"),
-    ).withColumn("im_rating", F.col("im_rating").cast("string"))
+    reviews = raw_reviews(spark, folder)
+    return reviews.select(
+        "id",
+        F.col("author_name").alias("name_client"),
+        "app",
+        "im_version",
+        F.col("im_rating").cast("string").alias("im_rating"),
+        "title",
+        "content",
+        "segmento",
+        F.sha2("content", 256).alias("text_key"),
+    )
 
 
 def snapshots(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,10 +9,19 @@ reviews AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS id, d.source AS author_name,
          split_part(d.text, '.', 1) AS title, d.text AS content,
          CAST(l.quality AS VARCHAR) AS im_rating, CAST(d.n_chars AS VARCHAR) AS im_version,
-         d.lang AS segmento, sha256(d.text) AS text_key
+         d.lang AS segmento, 'documents' AS app, sha256(d.text) AS text_key
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 )"""
 
+# The columns of REVIEWS as the lens gives them.
+RAW = """
+id, author_name, title, content, im_version, CAST(NULL AS VARCHAR) AS updated,
+CAST(NULL AS VARCHAR) AS author_uri, CAST(NULL AS INTEGER) AS im_votecount,
+CAST(NULL AS INTEGER) AS im_votesum, app, CAST(NULL AS VARCHAR) AS content_attributes_label,
+CAST(NULL AS VARCHAR) AS content_attributes_term, segmento,
+CAST(im_rating AS INTEGER) AS im_rating"""
+CHECKED = "id, author_name AS name_client, app, im_version, im_rating, title, content, segmento, text_key"
+
 # Rows of REVIEWS with what is wrong with each.
 JUDGED = (
     REVIEWS
@@ -71,9 +80,17 @@ OUTER = (
     "WITH "
     + SNAPSHOTS
     + """
-SELECT id, n.title AS new_title, o.title AS old_title, n.im_rating AS new_rating,
-       o.im_rating AS old_rating, CAST(o.odate AS VARCHAR) AS old_odate
-FROM new n FULL JOIN old o USING (id)"""
+SELECT id, CAST(o.odate AS VARCHAR) AS old_odate, """
+    + ", ".join(
+        f"""{row}.title AS {side}_title, {row}.content AS {side}_content,
+       {row}.im_rating AS {side}_im_rating, CAST({row}.odate AS VARCHAR) AS {side}_updated,
+       CAST(NULL AS VARCHAR) AS {side}_im_version,
+       CASE WHEN {row}.odate IS NOT NULL THEN 'USER ' || id END AS {side}_name_client,
+       CASE WHEN {row}.odate IS NOT NULL THEN 'events' END AS {side}_app,
+       CASE WHEN {row}.odate IS NOT NULL THEN 'pf' END AS {side}_segmento"""
+        for side, row in (("new", "n"), ("old", "o"))
+    )
+    + " FROM new n FULL JOIN old o USING (id)"
 )
 
 REPORT = (
@@ -130,14 +147,8 @@ def _whole(column: str) -> str:
 # Statements ----------------------------------------------------------------
 
 SQL = {
-    "union_segments": f"""
-WITH {REVIEWS}
-SELECT id, author_name, im_rating, segmento FROM reviews WHERE segmento = 'en'
-UNION ALL BY NAME
-SELECT segmento, id, im_rating, author_name FROM reviews WHERE segmento <> 'en'""",
-    "empty_source": """
-SELECT source AS author_name, CAST(doc_id AS VARCHAR) AS id, 'documents' AS app,
-       lang AS segmento FROM documents""",
+    "union_segments": f"WITH {REVIEWS} SELECT {RAW} FROM reviews",
+    "empty_source": f"WITH {REVIEWS} SELECT {RAW} FROM reviews",
     "path_attributes": """
 WITH paths AS (
   SELECT page_id, '/lake/bronze/appleStore/' || regexp_extract(url, '^https?://([^/?#]+)', 1)
@@ -161,7 +172,7 @@ FROM reviews""",
 WITH {REVIEWS}
 SELECT CAST(id AS VARCHAR) AS id, CAST(im_rating AS INTEGER) AS im_rating,
        CAST(im_version AS INTEGER) AS im_version, {_whole('title')} AS title,
-       segmento, '20240130' AS odate
+       segmento, content, '20240130' AS odate
 FROM reviews""",
     "history_partitions": f"""
 WITH {SNAPSHOTS}
@@ -211,7 +222,7 @@ FROM new n FULL JOIN latest l USING (id) LEFT JOIN histories h USING (id)""",
     "duplicate_keys": """
 SELECT sha256(text) AS text_key, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1""",
     "duplicate_records": """
-SELECT doc_id, source, lang, n_chars, sha256(text) AS text_key FROM documents
+SELECT doc_id, text, source, lang, n_chars, sha256(text) AS text_key FROM documents
 WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)""",
     "null_counts": f"""
 WITH {REVIEWS}
@@ -235,22 +246,18 @@ SELECT count(*) FILTER (status) AS success_count, count(*) FILTER (NOT status) A
 FROM report""",
     "quarantine": f"""
 WITH {JUDGED}
-SELECT id, name_client, segmento, concat_ws(',', a, b) AS reasons
-FROM (SELECT id, author_name AS name_client, segmento,
-             CASE WHEN incomplete THEN 'null im_rating' END AS a,
-             CASE WHEN repeated THEN 'duplicate key' END AS b
-      FROM judged)
-WHERE a IS NOT NULL OR b IS NOT NULL""",
+SELECT * FROM (
+  SELECT {CHECKED}, concat_ws(',', CASE WHEN incomplete THEN 'null im_rating' END,
+                                   CASE WHEN repeated THEN 'duplicate key' END) AS reasons
+  FROM judged WHERE incomplete OR repeated)""",
     "valid_reviews": f"""
 WITH {JUDGED}
-SELECT id, author_name AS name_client, im_rating, segmento FROM judged
-EXCEPT
-SELECT id, author_name AS name_client, im_rating, segmento FROM judged
-WHERE repeated OR incomplete""",
+SELECT {CHECKED} FROM judged EXCEPT SELECT {CHECKED} FROM judged WHERE repeated OR incomplete""",
     "except_rows": """
-SELECT lang, source, n_chars FROM documents
+SELECT text, lang, source, n_chars, replace(text, chr(10), '|') AS lines FROM documents
 EXCEPT
-SELECT lang, source, n_chars FROM documents JOIN labels USING (doc_id)""",
+SELECT text, lang, source, n_chars, replace(text, chr(10), '|') FROM documents
+JOIN labels USING (doc_id)""",
     "quality_metrics": f"""
 WITH {REPORT}
 SELECT valid, round(valid / total_records * 100, 6) AS valid_percentage, invalid,
@@ -327,7 +334,5 @@ SELECT event_id, user_id, event_type,
             THEN 'corrected' ELSE 'first' END AS load,
        strftime(ts, '%Y%m%d') AS odate
 FROM events""",
-    "sample": f"""
-WITH {REVIEWS}
-SELECT id, author_name, segmento FROM reviews ORDER BY id LIMIT 10""",
+    "sample": f"WITH {REVIEWS} SELECT {RAW} FROM reviews ORDER BY id LIMIT 10",
 }

@@ -49,10 +49,8 @@ def _moment(value: datetime):
 
 @query
 def union_segments(spark: SparkSession, folder: str) -> DataFrame:
-    reviews = lens.raw_reviews(spark, folder).select(
-        "id", "author_name", F.col("im_rating").cast("string").alias("im_rating"), "segmento"
-    )
-    reordered = reviews.select("segmento", "id", "im_rating", "author_name")
+    reviews = lens.raw_reviews(spark, folder)
+    reordered = reviews.select(*reversed(reviews.columns))
     return bronze.union_segments(
         [reviews.filter("segmento = 'en'"), reordered.filter("segmento <> 'en'")]
     )
@@ -61,9 +59,8 @@ def union_segments(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def empty_source(spark: SparkSession, folder: str) -> DataFrame:
     missing = bronze.read_reviews(spark, f"{folder}/appleStore/*_pf/odate=20240130")
-    columns = ["author_name", "id", "app", "segmento"]
     present = lens.raw_reviews(spark, folder)
-    return bronze.union_segments([missing.select(*columns), present.select(*columns)])
+    return bronze.union_segments([missing.select(*present.columns), present])
 
 
 @query
@@ -157,6 +154,7 @@ def conform_schema(spark: SparkSession, folder: str) -> DataFrame:
             StructField("im_version", IntegerType()),
             StructField("title", IntegerType()),
             StructField("segmento", StringType()),
+            StructField("content", StringType()),
         ]
     )
     return conform(lens.raw_reviews(spark, folder), layout).withColumn(
@@ -168,23 +166,18 @@ def conform_schema(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    columns = ("id", "title", "im_rating")
     new, old = lens.new_and_earlier(spark, folder)
     odate = F.col(schemas.PARTITION).cast("string").alias(schemas.PARTITION)
     return (
-        joins.prefixed(new.select(*columns), "new", "id"),
-        joins.prefixed(old.select(*columns, odate), "old", "id"),
+        joins.prefixed(new.select(*schemas.REVIEW_FIELDS), "new", "id"),
+        joins.prefixed(old.select(*schemas.REVIEW_FIELDS, odate), "old", "id"),
     )
 
 
 def _outer_columns(pairs: DataFrame) -> DataFrame:
+    values = [name for name in schemas.REVIEW_FIELDS if name != schemas.KEY]
     return pairs.select(
-        "id",
-        "new_title",
-        "old_title",
-        F.col("new_im_rating").alias("new_rating"),
-        F.col("old_im_rating").alias("old_rating"),
-        "old_odate",
+        "id", *(f"{side}_{name}" for side in ("new", "old") for name in values), "old_odate"
     )
 
 
@@ -301,11 +294,9 @@ def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def duplicate_records(spark: SparkSession, folder: str) -> DataFrame:
-    digests = lens.table(spark, folder, "documents").select(
-        "doc_id", "source", "lang", "n_chars", F.sha2("text", 256).alias(TEXT_KEY)
-    )
-    # stored, as it is scanned several times and the texts are wide
-    return quality.duplicate_records(session.store(digests), TEXT_KEY)
+    """Whole documents whose text repeats."""
+    found = lens.table(spark, folder, "documents").withColumn(TEXT_KEY, F.sha2("text", 256))
+    return quality.duplicate_records(found, TEXT_KEY)
 
 
 @query
@@ -347,25 +338,25 @@ def check_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    # stored, as it is scanned several times and digests are made of whole texts
-    reviews = session.store(lens.checked_reviews(spark, folder))
-    rejected = quality.quarantine(reviews, TEXT_KEY, RATED)
-    return rejected.select(
-        "id", "name_client", "segmento", F.array_join("reasons", ",").alias("reasons")
-    )
+    """Whole rejected reviews and why."""
+    rejected = quality.quarantine(lens.checked_reviews(spark, folder), TEXT_KEY, RATED)
+    return rejected.withColumn("reasons", F.array_join("reasons", ","))
 
 
 @query
 def valid_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    valid = quality.valid_rows(lens.checked_reviews(spark, folder), TEXT_KEY, RATED)
-    return valid.select("id", "name_client", "im_rating", "segmento")
+    """Whole reviews that pass every check."""
+    return quality.valid_rows(lens.checked_reviews(spark, folder), TEXT_KEY, RATED)
 
 
 @query
 def except_rows(spark: SparkSession, folder: str) -> DataFrame:
-    found = lens.table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    """Whole documents, their lines as an array too, without those that equal a labelled one."""
+    found = lens.table(spark, folder, "documents").withColumn("lines", F.split("text", "\n"))
     labelled = found.join(lens.table(spark, folder, "labels").select("doc_id"), "doc_id")
-    return quality.except_rows(found, labelled.drop("doc_id"))
+    columns = ["text", "lang", "source", "n_chars", "lines"]
+    rest = quality.except_rows(found.select(*columns), labelled.select(*columns))
+    return rest.withColumn("lines", F.array_join("lines", "|"))
 
 
 @query
@@ -375,8 +366,7 @@ def frame_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sample(spark: SparkSession, folder: str) -> DataFrame:
-    reviews = lens.raw_reviews(spark, folder).select("id", "author_name", "segmento")
-    return quality.sample(reviews)
+    return quality.sample(lens.raw_reviews(spark, folder))
 
 
 # Metrics ---------------------------------------------------------------------

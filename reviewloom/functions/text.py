@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,40 +60,83 @@ NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"
 WHOLE_PART = r"^([+-]?[0-9]*)"
 
 
-def _fold_table() -> tuple[str, str]:
-    """Arguments for ``translate``: Latin letters by their base letter.
+# Signs that become several characters first become one of the private-use area, each
+# its own. They are a range, so one comparison per character finds whether there are any.
+PRIVATE = 0xE000
 
-    The table follows from Unicode decomposition. Combining marks come last,
-    beyond the replacements, which makes ``translate`` delete them.
-    """
-    singles = dict(SINGLE_CHAR_FOLDS)
-    for code in [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00)]:
-        char = chr(code)
-        base = "".join(
-            c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
-        )
-        if len(base) == 1 and base.isascii() and char not in singles:
-            singles[char] = base
-    marks = "".join(chr(code) for code in range(0x0300, 0x0370))
-    return "".join(singles) + marks, "".join(singles.values())
+# Signs of this many neighbours in the range are looked for together.
+GROUP = 8
 
 
 def _several_table() -> dict[str, str]:
-    """Signs that Unicode decomposes to several ASCII characters: fractions, ligatures."""
-    found = {}
+    """Signs that Unicode decomposes to several ASCII characters: fractions, ligatures.
+
+    Those of Latin text come first, so that they share a group.
+    """
+    found = dict(MULTI_CHAR_FOLDS)
     for code in [*range(0x00A0, 0x0250), *range(0x2000, 0x2200), *range(0xFB00, 0xFB07)]:
         char = chr(code)
         base = "".join(
             c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
         ).replace("\u2044", "/")
         if len(base) > 1 and base.isascii() and base.strip() and char not in SINGLE_CHAR_FOLDS:
-            found[char] = base
-    return found | MULTI_CHAR_FOLDS
+            found.setdefault(char, base)
+    return found
+
+
+def _fold_table(several: dict[str, str]) -> tuple[str, str]:
+    """Arguments for ``translate``: Latin letters by their base letter, the signs of
+    ``several`` by their private-use character.
+
+    The table follows from Unicode decomposition. Combining marks, and private-use
+    characters that a text brings itself, come last, beyond the replacements, which makes
+    ``translate`` delete them.
+    """
+    singles = {char: chr(PRIVATE + at) for at, char in enumerate(several)} | SINGLE_CHAR_FOLDS
+    for code in [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00)]:
+        char = chr(code)
+        base = "".join(
+            c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
+        )
+        if len(base) == 1 and base.isascii() and char not in singles:
+            singles[char] = base
+    gone = [*range(0x0300, 0x0370), *range(PRIVATE, PRIVATE + len(several))]
+    return "".join(singles) + "".join(map(chr, gone)), "".join(singles.values())
 
 
-_FROM, _TO = _fold_table()
 _SEVERAL = _several_table()
-_ANY_SEVERAL = f"[{''.join(_SEVERAL)}]"
+_FROM, _TO = _fold_table(_SEVERAL)
+
+
+def _any_of(first: int, last: int) -> str:
+    """Finds one of a range of characters, which is one comparison for each."""
+    return f"[\\x{{{first:X}}}-\\x{{{last:X}}}]"
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _spelled_out(folded: Column, begin: int = 0) -> Column:
+    """Private-use characters as what they stand for, group by group where there are any."""
+    plain = list(_SEVERAL.values())
+    end = min(begin + GROUP, len(plain))
+    if begin >= end:
+        return folded
+
+    def group(text: Column) -> Column:
+        replaced = text
+        for at in range(begin, end):
+            replaced = F.replace(replaced, F.lit(chr(PRIVATE + at)), F.lit(plain[at]))
+        found = text.rlike(_any_of(PRIVATE + begin, PRIVATE + end - 1))
+        return _spelled_out(F.when(found, replaced).otherwise(text), end)
+
+    return _once(folded, group)
+
+
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
 
 
 def fold_accents(text: Column) -> Column:
@@ -102,13 +146,16 @@ def fold_accents(text: Column) -> Column:
     that is not ASCII goes: pictographs, stars, and letters of other scripts. Rows that
     are plain ASCII already skip the folding.
     """
-    one_by_one = F.translate(text, _FROM, _TO)
-    several = one_by_one
-    for char, plain in _SEVERAL.items():
-        several = F.replace(several, F.lit(char), F.lit(plain))
-    folded = F.when(one_by_one.rlike(_ANY_SEVERAL), several).otherwise(one_by_one)
-    folded = F.regexp_replace(folded, NOT_ASCII, "")
-    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(folded)
+
+    def spelled(one_by_one: Column) -> Column:
+        signs = one_by_one.rlike(_any_of(PRIVATE, PRIVATE + len(_SEVERAL) - 1))
+        return _once(F.when(signs, _spelled_out(one_by_one)).otherwise(one_by_one), without_others)
+
+    def without_others(latin: Column) -> Column:
+        return F.when(_is_ascii(latin), latin).otherwise(F.regexp_replace(latin, NOT_ASCII, ""))
+
+    folded = _once(F.translate(text, _FROM, _TO), spelled)
+    return F.when(_is_ascii(text), text).otherwise(folded)
 
 
 def shout(text: Column) -> Column:

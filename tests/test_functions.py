@@ -24,6 +24,7 @@ def one(spark, value, column, type_="string"):
         ("⭐⭐ bom", " BOM"),
         ("½ ĳ ﬁm ™", "1/2 IJ FIM TM"),
         ("ok Привет да Ωmega", "OK   MEGA"),
+        ("own \ue000\ue058 é ½\ufb03", "OWN  E 1/2FFI"),
         ("e\u0301", "E"),
         ("plain", "PLAIN"),
         ("", ""),
