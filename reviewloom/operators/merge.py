@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from reviewloom.operators import joins, sizing
+from reviewloom import session
+from reviewloom.operators import bitmaps, joins, sizing
 from reviewloom.schemas import HISTORY_ENTRY, KEY, PARTITION, PAYLOAD, REVIEW_FIELDS, TRACKED
 
 _CARRIED = tuple(name for name in REVIEW_FIELDS if name != KEY)
@@ -58,15 +59,16 @@ def since_all_newest(history: DataFrame, tally: DataFrame) -> DataFrame:
     return history.filter(F.col(PARTITION) >= oldest.scalar())
 
 
-def latest_rows(history: DataFrame) -> DataFrame:
-    """Per id the row with the greatest load date."""
-    row = F.struct(PARTITION, *_CARRIED)
-    return (
-        history.filter(F.col(KEY).isNotNull())
-        .groupBy(KEY)
-        .agg(F.max(row).alias("row"))
-        .select(KEY, *(F.col(f"row.{name}").alias(name) for name in _CARRIED))
-    )
+def latest_rows(history: DataFrame, tally: DataFrame | None = None) -> DataFrame:
+    """Per id the row with the greatest load date. An id has one row per load date.
+
+    The greatest date is found on two narrow columns; wide rows are only fetched where
+    they have it. ``tally`` is ``tally_history(history)`` where that is stored already.
+    """
+    newest = (tally_history(history) if tally is None else tally).select(KEY, "newest")
+    rows = history.select(KEY, *_CARRIED, load_day(history).alias("day"))
+    # not an equality: rows stay hashed by id alone, as later joins need them
+    return rows.join(newest, KEY).filter(F.col("day") >= F.col("newest")).select(KEY, *_CARRIED)
 
 
 def distinct_versions(history: DataFrame) -> DataFrame:
@@ -111,7 +113,8 @@ def change_rows(
         )
         found = _replaced(pairs)
         return found.groupBy(KEY, *PAYLOAD).agg(F.min("first_seen").alias("first_seen"))
-    versions = distinct_versions(history).select(KEY, "first_seen", *as_old)
+    # stored, as it is measured before it is joined
+    versions = session.store(distinct_versions(history).select(KEY, "first_seen", *as_old))
     return _replaced(joins.salted_join(versions, batch, KEY))
 
 
@@ -158,15 +161,27 @@ def merge_snapshots(
     """
     if tally is None:
         tally = tally_history(history)
-    latest = latest_rows(since_all_newest(history, tally) if prune else history)
+    latest = latest_rows(since_all_newest(history, tally) if prune else history, tally)
     small = sizing.is_small(new.select(KEY, *TRACKED), broadcast_limit)
-    if not small and sizing.is_small(new.select(KEY), broadcast_limit):
-        # the ids alone can be sent to the history: others are not shuffled
-        history = history.join(F.broadcast(new.select(KEY)), KEY, "left_semi")
+    if not small:
+        history = rows_of_batch(history, new.select(KEY), broadcast_limit)
     nested = nest_changes(change_rows(new, history, small))
     return _without_gaps(current_snapshot(new, latest, nested))
 
 
+def rows_of_batch(
+    history: DataFrame, ids: DataFrame, broadcast_limit: int = sizing.BROADCAST_LIMIT
+) -> DataFrame:
+    """Rows of ``history`` whose id is in ``ids`` (distinct), and maybe few others.
+
+    The ids are sent to the history where they may be, else a bitmap of their hashes:
+    either way other rows are dropped where they are read.
+    """
+    if sizing.is_small(ids, broadcast_limit):
+        return history.join(F.broadcast(ids), KEY, "left_semi")
+    return bitmaps.likely_rows(history, ids, KEY, broadcast_limit)
+
+
 def _without_gaps(snapshot: DataFrame) -> DataFrame:
     """An empty history instead of a null one."""
     none = F.array().cast(snapshot.schema["historical_data"].dataType)

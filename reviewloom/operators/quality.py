@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.functions import formats, text
+from reviewloom import session
+from reviewloom.functions import digests, formats, text
 from reviewloom.operators import joins
 from reviewloom.schemas import CRITICAL, KEY, REQUIRED
 
@@ -23,6 +25,9 @@ NULLS_NONE = "Nenhum valor nulo encontrado nas colunas criticas."
 TYPES_BAD = "Valores não numericos encontrados na coluna 'im_rating'."
 TYPES_GOOD = "Consistencia dos tipos de dados verificada com sucesso."
 
+# Name of the digest column within this module.
+DIGEST = "_row_digest"
+
 DUPLICATE_REASON = "duplicate key"
 NULL_REASON = "null "
 
@@ -104,10 +109,19 @@ def quarantine(
 def except_rows(frame: DataFrame, rejected: DataFrame) -> DataFrame:
     """Distinct rows of ``frame`` that are not in ``rejected``; nulls compare equal.
 
-    This shuffles whole rows, copies of a row once per task. Where keys are
-    unique, ``valid_rows`` gives the same without.
+    Only digests of the rejected rows are sent to the others: rows without a partner stay
+    in place. Those of a common digest are compared value by value. What is left is made
+    distinct.
     """
-    return frame.select(*rejected.columns).distinct().subtract(rejected.distinct())
+    names = rejected.columns
+    rows = frame.select(*names, digests.row_digest(frame, names).alias(DIGEST))
+    marked = rejected.select("*", digests.row_digest(rejected).alias(DIGEST))
+    found = session.store(marked.select(DIGEST).distinct())
+    alone = joins.rows_with_keys(rows, found, DIGEST, "left_anti")
+    suspected = joins.rows_with_keys(rows, found, DIGEST).distinct().alias("l")
+    same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in [DIGEST, *names]]
+    different = suspected.join(marked.distinct().alias("r"), reduce(Column.__and__, same), "left_anti")
+    return alone.unionByName(different).distinct().select(*names)
 
 
 def null_counts(frame: DataFrame, columns: Sequence[str] = CRITICAL) -> DataFrame:

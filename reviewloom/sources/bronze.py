@@ -10,7 +10,8 @@ from pyspark.sql.types import StructType
 
 from reviewloom import schemas
 from reviewloom.functions import paths
-from reviewloom.sources import parquet
+from reviewloom.operators import standardize
+from reviewloom.sources import layouts, parquet
 
 
 def read_reviews(
@@ -20,17 +21,24 @@ def read_reviews(
     store: str = paths.STORE,
     segments: tuple[str, ...] = paths.SEGMENTS,
 ) -> DataFrame:
-    """Reviews below ``path`` with ``app`` and ``segmento`` taken from the file path."""
-    found = parquet.scan(spark, path, schema)
-    if found is None:
+    """Reviews below ``path`` with ``app`` and ``segmento`` taken from the file path.
+
+    Files may differ in their columns and types: columns they lack are null, others are
+    cast, text that is no number to null in an integer column.
+    """
+    found = layouts.scan(spark, path, schema)
+    if not found:
         return parquet.empty(
             spark, StructType(schema.fields + schemas.BRONZE_WITH_ORIGIN.fields[-2:])
         )
     origin = paths.source_path()
-    return found.select(
-        *schema.fieldNames(),
-        paths.app_of(origin, store).alias("app"),
-        paths.segment_of(origin, segments).alias("segmento"),
+    return union_segments(
+        frame.select(
+            *standardize.conformed(frame, schema),
+            paths.app_of(origin, store).alias("app"),
+            paths.segment_of(origin, segments).alias("segmento"),
+        )
+        for frame in found
     )
 
 
