@@ -82,14 +82,16 @@ def rows_with_keys(
     how: str = "left_semi",
     broadcast_limit: int = sizing.BROADCAST_LIMIT,
     task_bytes: int = TASK_BYTES,
+    stored: bool = False,
 ) -> DataFrame:
     """Rows of ``frame`` whose key is in ``counted`` (one row per key), copies included;
-    with ``how="left_anti"`` those whose key is not.
+    with ``how="left_anti"`` those whose key is not. ``stored`` says that ``counted`` is a
+    written table.
 
     Keys that have been measured to be few are sent to the rows, which then stay in
     place; else rows are matched with hot keys spread over several tasks.
     """
-    keys = session.store(counted.select(key))
+    keys = counted.select(key) if stored else session.store(counted.select(key))
     if sizing.is_small(keys, broadcast_limit):
         return frame.join(F.broadcast(keys), key, how)
     return salted_join(frame, keys, key, how, task_bytes)

@@ -84,7 +84,14 @@ def distinct_versions(history: DataFrame) -> DataFrame:
     )
 
 
-def _replaced(pairs: DataFrame) -> DataFrame:
+def tracked_values(new: DataFrame) -> DataFrame:
+    """The id and what changes are found by, as ``new_<name>``."""
+    return new.select(KEY, *(F.col(name).alias(f"new_{name}") for name in TRACKED))
+
+
+def replaced(pairs: DataFrame) -> DataFrame:
+    """Of earlier versions (``old_<name>``) beside the new values of their id those that
+    differ in a tracked column."""
     return pairs.filter(change_flag()).select(
         KEY,
         "first_seen",
@@ -103,19 +110,17 @@ def change_rows(
     the history and only replaced versions are shuffled; otherwise versions are
     made distinct first and joined with hot ids salted.
     """
-    batch = new.select(
-        KEY, *(F.col(name).alias(f"new_{name}") for name in TRACKED)
-    )
+    batch = tracked_values(new)
     as_old = [F.col(name).alias(f"old_{name}") for name in PAYLOAD]
     if small:
         pairs = history.select(KEY, load_day(history).alias("first_seen"), *as_old).join(
             F.broadcast(batch), KEY
         )
-        found = _replaced(pairs)
+        found = replaced(pairs)
         return found.groupBy(KEY, *PAYLOAD).agg(F.min("first_seen").alias("first_seen"))
     # stored, as it is measured before it is joined
     versions = session.store(distinct_versions(history).select(KEY, "first_seen", *as_old))
-    return _replaced(joins.salted_join(versions, batch, KEY))
+    return replaced(joins.salted_join(versions, batch, KEY))
 
 
 def nest_changes(changes: DataFrame) -> DataFrame:
@@ -166,7 +171,7 @@ def merge_snapshots(
     if not small:
         history = rows_of_batch(history, new.select(KEY), broadcast_limit)
     nested = nest_changes(change_rows(new, history, small))
-    return _without_gaps(current_snapshot(new, latest, nested))
+    return without_gaps(current_snapshot(new, latest, nested))
 
 
 def rows_of_batch(
@@ -182,7 +187,7 @@ def rows_of_batch(
     return bitmaps.likely_rows(history, ids, KEY, broadcast_limit)
 
 
-def _without_gaps(snapshot: DataFrame) -> DataFrame:
+def without_gaps(snapshot: DataFrame) -> DataFrame:
     """An empty history instead of a null one."""
     none = F.array().cast(snapshot.schema["historical_data"].dataType)
     return snapshot.withColumn("historical_data", F.coalesce("historical_data", none))

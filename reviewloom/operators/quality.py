@@ -37,19 +37,26 @@ def duplicate_keys(frame: DataFrame, key: str = KEY) -> DataFrame:
     return joins.key_tally(frame, key).filter(F.col("n") > 1)
 
 
-def duplicate_records(frame: DataFrame, key: str = KEY) -> DataFrame:
-    """Every copy of the rows whose key repeats."""
-    return joins.rows_with_keys(frame, duplicate_keys(frame, key), key)
+def duplicate_records(
+    frame: DataFrame, key: str = KEY, repeated: DataFrame | None = None
+) -> DataFrame:
+    """Every copy of the rows whose key repeats. ``repeated`` are those keys, where they
+    are stored already."""
+    keys = duplicate_keys(frame, key) if repeated is None else repeated
+    return joins.rows_with_keys(frame, keys, key, stored=repeated is not None)
 
 
-def unique_rows(frame: DataFrame, key: str = KEY) -> DataFrame:
+def unique_rows(
+    frame: DataFrame, key: str = KEY, repeated: DataFrame | None = None
+) -> DataFrame:
     """Rows whose non-null key occurs once.
 
-    Only keys are counted; the rows are then kept where they are, unless the repeated
-    keys are too many to be sent to them.
+    Only keys are counted, or given as ``repeated`` where that is stored; the rows are then
+    kept where they are, unless the repeated keys are too many to be sent to them.
     """
     keyed = frame.filter(F.col(key).isNotNull())
-    return joins.rows_with_keys(keyed, duplicate_keys(keyed, key), key, "left_anti")
+    keys = duplicate_keys(keyed, key) if repeated is None else repeated
+    return joins.rows_with_keys(keyed, keys, key, "left_anti", stored=repeated is not None)
 
 
 def is_complete(required: Sequence[str] = REQUIRED) -> Column:
@@ -71,6 +78,7 @@ def reject_keys(
     key: str = KEY,
     required: Sequence[str] = REQUIRED,
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Rows that cannot be merged, with ``reasons``: null key, or any copy of a repeated one.
 
@@ -78,12 +86,12 @@ def reject_keys(
     work that the other rows need not go through.
     """
     no_key = frame.filter(F.col(key).isNull())
-    repeated = duplicate_records(frame, key)
+    copies = duplicate_records(frame, key, repeated)
     if finish is not None:
-        no_key, repeated = finish(no_key), finish(repeated)
+        no_key, copies = finish(no_key), finish(copies)
     columns = list(required) if key in required else [key, *required]
     return no_key.withColumn("reasons", null_reasons(columns)).unionByName(
-        repeated.withColumn(
+        copies.withColumn(
             "reasons", F.array_append(null_reasons(required), F.lit(DUPLICATE_REASON))
         )
     )
@@ -176,6 +184,22 @@ def quality_counts(
     return counted.withColumn("invalid", F.col("total_records") - F.col("valid"))
 
 
+def unique_counters(
+    key: str = KEY,
+    required: Sequence[str] = REQUIRED,
+    critical: Sequence[str] = CRITICAL,
+    rating: str = "im_rating",
+) -> list[Column]:
+    """Aggregates for the counters of ``quality_counts`` over rows whose keys are unique,
+    to be observed while the rows are written."""
+    return [
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(F.col(key).isNotNull() & is_complete(required)).alias("valid"),
+        F.count_if(bad_rating(rating)).alias("bad_rating"),
+        *(F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in critical),
+    ]
+
+
 def _check(name: str, passed: Column, failed_code: int, good: Column, bad: Column) -> Column:
     return F.struct(
         F.lit(name).alias("check"),

@@ -42,3 +42,9 @@ def is_small(frame: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     ).first()
     cost = ROW_COST + COLUMN_COST * len(frame.columns)
     return measured["bytes"] + measured["rows"] * cost <= limit
+
+
+def file_bytes(frame: DataFrame) -> int:
+    """Size of the files that ``frame``, a plain scan, reads. No column is read."""
+    files = frame.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]

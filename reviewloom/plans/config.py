@@ -39,6 +39,8 @@ class RunConfig:
     fail_index: str = "datametrics_fail"
     sample_env: str = "pre"
     broadcast_limit: int = sizing.BROADCAST_LIMIT
+    # Silver and ledger are clustered by id into so many files a load date; None: they are not.
+    buckets: int | None = None
     labels: Labels = Labels()
 
     def __post_init__(self) -> None:
@@ -56,6 +58,16 @@ class RunConfig:
     def silver_path(self) -> str:
         return posixpath.join(self.silver, self.store)
 
+    @property
+    def ledger_path(self) -> str:
+        """Beside silver. Its files of one number of buckets lie apart from others."""
+        kind = "plain" if self.buckets is None else f"buckets_{self.buckets}"
+        return posixpath.join(f"{self.silver.rstrip('/')}_ledger", self.store, kind)
+
+    @property
+    def runs_path(self) -> str:
+        return posixpath.join(f"{self.silver.rstrip('/')}_runs", self.store)
+
     @property
     def quarantine_path(self) -> str:
         return posixpath.join(self.quarantine, self.store)

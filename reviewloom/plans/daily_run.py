@@ -9,18 +9,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom import schemas, session
-from reviewloom.operators import merge, quality
+from reviewloom.operators import joins, quality, sizing
+from reviewloom.operators import ledger as versions
 from reviewloom.operators.standardize import conform, standardize_reviews
-from reviewloom.plans import documents
+from reviewloom.plans import documents, lake, replay
 from reviewloom.plans.config import RunConfig
 from reviewloom.plans.stage_metrics import StageMetrics
-from reviewloom.sinks import metrics, partitions
-from reviewloom.sources import bronze, history
+from reviewloom.sinks import marks, metrics
+from reviewloom.sources import bronze
 
 log = logging.getLogger(__name__)
 
 
+# What a stored byte may take in a shuffle, where rows are not compressed by column.
+SHUFFLED = 4
+
+
 class Curated(NamedTuple):
+    """One load date: complete rows, rejected and incomplete ones, versions not seen before
+    it, and the counters of the checks."""
+
+    valid: DataFrame
+    rejected: DataFrame
+    incomplete: DataFrame
+    versions: DataFrame
+    counts: DataFrame
+
+    @property
+    def invalid(self) -> DataFrame:
+        return self.rejected.unionByName(self.incomplete)
+
+    @property
+    def report(self) -> DataFrame:
+        return quality.validation_report(self.counts)
+
+
+class Published(NamedTuple):
+    """A load date as stored, with the counters and the report of its checks."""
+
     valid: DataFrame
     invalid: DataFrame
     report: DataFrame
@@ -32,92 +58,130 @@ def read_batch(spark: SparkSession, config: RunConfig) -> DataFrame:
     return bronze.read_segments(spark, config.segment_globs(), store=config.store, segments=config.segments)
 
 
-def curate(spark: SparkSession, batch: DataFrame, config: RunConfig) -> Curated:
-    """Merge ``batch`` with its history, check it and split it.
+def curate(
+    spark: SparkSession,
+    batch: DataFrame,
+    config: RunConfig,
+    known: marks.Days | None = None,
+    only: DataFrame | None = None,
+) -> Curated:
+    """Merge ``batch`` with what is stored of earlier load dates, check it and split it.
 
-    The mergeable rows, the tally of the history and the merged rows are written
-    to the scratch folder once, as each is used several times. Text is
-    standardised after rows have been selected by id, so once for each.
+    Of those only the newest snapshot and the ledger's entries of the batch's ids are read.
+    ``only``, a stored table of ids, restricts all of it to those. Keys are tallied once;
+    the mergeable rows, their ledger entries and the merged rows are written to the scratch
+    folder, as each is used several times. Counters are gathered while rows are written.
     """
-    standard = standardize_reviews(quality.unique_rows(batch))
+    known = lake.days(spark, config) if known is None else known
+    newest = lake.snapshot(spark, config, known, known.before(config.as_of))
+    ledger = lake.ledger(spark, config, known, config.as_of)
+    if only is not None:
+        batch = joins.rows_with_keys(batch, only, schemas.KEY, stored=True)
+        newest = joins.rows_with_keys(newest, only, schemas.KEY, stored=True)
+    tally = session.store(batch.groupBy(schemas.KEY).agg(F.count(F.lit(1)).alias("n")))
+    repeated = tally.filter(F.col(schemas.KEY).isNotNull() & (F.col("n") > 1)).select(schemas.KEY)
+    standard = standardize_reviews(quality.unique_rows(batch, repeated=repeated))
     new = session.store(standard.select(*schemas.REVIEW_FIELDS))
-    earlier = history.read_history(spark, config.silver_path, config.as_of)
-    tally = session.store(merge.tally_history(earlier))
-    merged = merge.merge_snapshots(new, earlier, tally, config.broadcast_limit, prune=True)
-    current = session.store(conform(merged, schemas.SILVER))
+    session.size_shuffles(spark, SHUFFLED * (sizing.file_bytes(new) + _stored_bytes(newest)))
+    ids = new.select(schemas.KEY)
+    entries = session.store(versions.known_versions(ledger, ids, config.broadcast_limit))
+    merged = versions.merge_with_ledger(new, newest, entries, config.broadcast_limit)
+    current, counted = session.store_counted(
+        conform(merged, schemas.SILVER), *quality.unique_counters()
+    )
     valid = current.filter(quality.is_complete())
     incomplete = current.filter(~quality.is_complete()).withColumn(
         "reasons", quality.null_reasons()
     )
-    rejected = quality.reject_keys(batch, finish=standardize_reviews).withColumn(
+    rejected = quality.reject_keys(batch, finish=standardize_reviews, repeated=repeated).withColumn(
         "historical_data", F.array().cast(schemas.SILVER["historical_data"].dataType)
     )
-    invalid = conform(rejected, schemas.QUARANTINE).unionByName(incomplete)
-    counts = _run_counts(spark, batch, current)
-    return Curated(valid, invalid, quality.validation_report(counts), counts)
+    from_batch = joins.rows_with_keys(valid.select(schemas.KEY, *schemas.PAYLOAD), ids, schemas.KEY, stored=True)
+    return Curated(
+        valid,
+        conform(rejected, schemas.QUARANTINE),
+        incomplete,
+        versions.new_versions(from_batch, entries),
+        _run_counts(spark, tally, counted),
+    )
+
 
+def _stored_bytes(newest: DataFrame) -> int:
+    """Size of the newest snapshot's files; an empty frame has none."""
+    return sizing.file_bytes(newest) if newest.inputFiles() else 0
 
-def _run_counts(spark: SparkSession, batch: DataFrame, current: DataFrame) -> DataFrame:
+
+def _run_counts(spark: SparkSession, tally: DataFrame, counted: dict[str, int]) -> DataFrame:
     """Counters of the run as one literal row.
 
-    Keys are checked on the batch, where they can still repeat; content is
-    checked on the merged rows. Two one-row aggregates are fetched.
+    Keys are counted from their stored tally, as they repeat in the batch only; content was
+    counted as the merged rows were written.
     """
-    merged = quality.quality_counts(current, keys_unique=True).first().asDict()
-    keys = (
-        batch.groupBy(schemas.KEY)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.count_if(F.col(schemas.KEY).isNotNull() & (F.col("n") > 1)).alias("repeated"),
-            F.coalesce(F.sum(F.when(F.col(schemas.KEY).isNull(), F.col("n"))), F.lit(0)).alias(
-                "no_key"
-            ),
-            F.coalesce(
-                F.sum(F.when(F.col(schemas.KEY).isNull() | (F.col("n") > 1), F.col("n"))), F.lit(0)
-            ).alias("rejected"),
-        )
-        .first()
-    )
-    merged["duplicate_keys"] = keys["repeated"]
-    merged["null_id"] = keys["no_key"]
-    merged["invalid"] += keys["rejected"]
-    merged["written_total"] = merged["valid"] + merged["invalid"]
+    named = F.col(schemas.KEY).isNotNull()
+    lost = ~named | (F.col("n") > 1)
+    keys = tally.agg(
+        F.count_if(named & (F.col("n") > 1)).alias("repeated"),
+        F.coalesce(F.sum(F.when(~named, F.col("n"))), F.lit(0)).alias("no_key"),
+        F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("rejected"),
+    ).first()
+    counts = {
+        **counted,
+        "duplicate_keys": keys["repeated"],
+        "null_id": keys["no_key"],
+        "invalid": counted["total_records"] - counted["valid"] + keys["rejected"],
+    }
+    counts["written_total"] = counts["valid"] + counts["invalid"]
     return spark.range(1).select(
-        *(F.lit(count).cast("bigint").alias(name) for name, count in merged.items())
+        *(F.lit(count).cast("bigint").alias(name) for name, count in counts.items())
     )
 
 
-def save(curated: Curated, config: RunConfig) -> None:
-    """Write both tables."""
+def save(spark: SparkSession, curated: Curated, config: RunConfig) -> Published:
+    """Write the load date's tables and return it as stored."""
     counted = curated.counts.first()
-    partitions.write_load_date(
-        curated.valid,
-        config.silver_path,
+    lake.publish(
+        spark,
+        config,
         config.as_of,
-        schemas.SILVER,
-        has_rows=counted["valid"] > 0,
+        curated.valid,
+        curated.invalid,
+        curated.versions,
+        counted["valid"] > 0,
+        counted["invalid"] > 0,
     )
-    partitions.write_load_date(
-        curated.invalid, config.quarantine_path, config.as_of, has_rows=counted["invalid"] > 0
+    day = config.as_of
+    return Published(
+        lake.day_of(spark, config.silver_path, schemas.SILVER, day),
+        lake.day_of(spark, config.quarantine_path, schemas.QUARANTINE, day),
+        curated.report,
+        curated.counts,
     )
 
 
-def run(spark: SparkSession, config: RunConfig) -> Curated:
-    """Run the load date. A failure is recorded and raised again."""
+def run(spark: SparkSession, config: RunConfig) -> Published:
+    """Run the load date. A failure is recorded and raised again.
+
+    Later load dates that have been run already are brought up to date. Scratch tables are
+    removed at the end.
+    """
     batch = None
     try:
         stages = StageMetrics(spark)
         stages.begin()
-        batch = read_batch(spark, config)
-        curated = curate(spark, batch, config)
-        if config.env == config.sample_env:
-            _show_sample(curated)
-        save(curated, config)
+        with session.removed_scratch(spark):
+            batch = read_batch(spark, config)
+            known = lake.days(spark, config)
+            curated = curate(spark, batch, config, known)
+            if config.env == config.sample_env:
+                _show_sample(curated)
+            changed = replay.changed_by(spark, curated, config, known)
+            published = save(spark, curated, config)
+            replay.replay(spark, config, changed, known.after(config.as_of), curate, read_batch)
         stages.end()
         pairs = [F.lit(text) for pair in stages.report().items() for text in pair]
         document = documents.success_document(
-            curated.counts,
-            quality.segment_names(curated.valid).scalar(),
+            published.counts,
+            quality.segment_names(published.valid).scalar(),
             spark.sparkContext.applicationId,
             *stages.span(),
             F.current_timestamp(),
@@ -125,7 +189,7 @@ def run(spark: SparkSession, config: RunConfig) -> Curated:
             config.labels,
         )
         metrics.save_run("success", config.metrics, config.success_index, document)
-        return curated
+        return published
     except Exception as error:
         _record_failure(spark, config, batch, error)
         raise

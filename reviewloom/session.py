@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import posixpath
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+
+log = logging.getLogger(__name__)
 
 # Times are written as UTC; skewed joins may be split even where a later
 # grouping then needs one more shuffle; call sites are not sent to the JVM with
@@ -40,6 +45,42 @@ def configure(
     return builder
 
 
+def size_shuffles(spark: SparkSession, largest_shuffle: int) -> None:
+    """Shuffle partitions for a shuffle of so many bytes, for the queries that follow. Never
+    fewer than configured; small ones are coalesced at run time."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = max(least, math.ceil(largest_shuffle / PARTITION_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
+
+
+# Folders made within each open ``removed_scratch``, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def removed_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made within are removed at the end, whether it failed or not.
+
+    Frames that read them must not be used after.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for folder in made:
+            _remove(spark, folder)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:
+        log.exception("the scratch folder %s could not be removed", folder)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name below a folder that all executors share.
 
@@ -52,7 +93,10 @@ def scratch_folder(spark: SparkSession) -> str:
         local = spark.sparkContext.master.startswith("local")
         if shared is None or not local and shared.startswith("file:"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return posixpath.join(shared, f"reviewloom-{uuid.uuid4().hex}")
+    folder = posixpath.join(shared, f"reviewloom-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
+    return folder
 
 
 def store(frame: DataFrame, folder: str | None = None) -> DataFrame:
@@ -65,3 +109,11 @@ def store(frame: DataFrame, folder: str | None = None) -> DataFrame:
     path = folder or scratch_folder(spark)
     frame.write.mode("errorifexists").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def store_counted(frame: DataFrame, *counters) -> tuple[DataFrame, dict[str, int]]:
+    """``store``, and the values of ``counters`` (aggregates with a name) over the rows,
+    gathered while they are written."""
+    seen = Observation()
+    stored = store(frame.observe(seen, *counters))
+    return stored, dict(seen.get)
