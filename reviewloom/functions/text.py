@@ -64,15 +64,11 @@ WHOLE_PART = r"^([+-]?[0-9]*)"
 # its own. They are a range, so one comparison per character finds whether there are any.
 PRIVATE = 0xE000
 
-# Signs of this many neighbours in the range are looked for together.
-GROUP = 8
-
+# More characters than a text has.
+MOST = 2**31 - 1
 
 def _several_table() -> dict[str, str]:
-    """Signs that Unicode decomposes to several ASCII characters: fractions, ligatures.
-
-    Those of Latin text come first, so that they share a group.
-    """
+    """Signs that Unicode decomposes to several ASCII characters: fractions, ligatures."""
     found = dict(MULTI_CHAR_FOLDS)
     for code in [*range(0x00A0, 0x0250), *range(0x2000, 0x2200), *range(0xFB00, 0xFB07)]:
         char = chr(code)
@@ -108,9 +104,11 @@ _SEVERAL = _several_table()
 _FROM, _TO = _fold_table(_SEVERAL)
 
 
-def _any_of(first: int, last: int) -> str:
-    """Finds one of a range of characters, which is one comparison for each."""
-    return f"[\\x{{{first:X}}}-\\x{{{last:X}}}]"
+# Finds a private-use character of the table, which is one comparison per character, and
+# the places before one.
+_SIGN = f"[\\x{{{PRIVATE:X}}}-\\x{{{PRIVATE + len(_SEVERAL) - 1:X}}}]"
+_BEFORE_SIGN = f"(?={_SIGN})"
+_BETWEEN = "\x01"
 
 
 def _once(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -118,21 +116,16 @@ def _once(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def _spelled_out(folded: Column, begin: int = 0) -> Column:
-    """Private-use characters as what they stand for, group by group where there are any."""
-    plain = list(_SEVERAL.values())
-    end = min(begin + GROUP, len(plain))
-    if begin >= end:
-        return folded
+def _spelled_out(folded: Column) -> Column:
+    """Private-use characters as what they stand for. The text is cut before each of them,
+    so work follows the signs that it has and not the table."""
+    plain = F.split(F.lit(_BETWEEN.join(_SEVERAL.values())), _BETWEEN)
 
-    def group(text: Column) -> Column:
-        replaced = text
-        for at in range(begin, end):
-            replaced = F.replace(replaced, F.lit(chr(PRIVATE + at)), F.lit(plain[at]))
-        found = text.rlike(_any_of(PRIVATE + begin, PRIVATE + end - 1))
-        return _spelled_out(F.when(found, replaced).otherwise(text), end)
+    def piece(part: Column) -> Column:
+        meaning = F.get(plain, F.ascii(part) - PRIVATE)
+        return F.coalesce(F.concat(meaning, F.substring(part, 2, MOST)), part)
 
-    return _once(folded, group)
+    return F.array_join(F.transform(F.split(folded, _BEFORE_SIGN), piece), "")
 
 
 def _is_ascii(text: Column) -> Column:
@@ -148,8 +141,8 @@ def fold_accents(text: Column) -> Column:
     """
 
     def spelled(one_by_one: Column) -> Column:
-        signs = one_by_one.rlike(_any_of(PRIVATE, PRIVATE + len(_SEVERAL) - 1))
-        return _once(F.when(signs, _spelled_out(one_by_one)).otherwise(one_by_one), without_others)
+        whole = F.when(one_by_one.rlike(_SIGN), _spelled_out(one_by_one)).otherwise(one_by_one)
+        return _once(whole, without_others)
 
     def without_others(latin: Column) -> Column:
         return F.when(_is_ascii(latin), latin).otherwise(F.regexp_replace(latin, NOT_ASCII, ""))

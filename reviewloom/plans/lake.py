@@ -109,8 +109,11 @@ def publish(
     """Write a load date's three tables between two marks. Until the second one is there,
     readers leave the load date out, whichever tables a failed run has written."""
     run = uuid.uuid4().hex
+    known = marks.read(spark, config.runs_path)
+    # on a new load date there is nothing to clear where no version is new
+    is_new = known is None or day not in known.complete and day not in known.pending
     marks.add(spark, config.runs_path, [day], run, marks.BEGUN, config.buckets)
-    _write(new_versions, config.ledger_path, day, config.buckets)
+    _write(new_versions, config.ledger_path, day, config.buckets, True if is_new else None)
     partitions.write_load_date(invalid, config.quarantine_path, day, has_rows=has_invalid)
     _write(valid, config.silver_path, day, config.buckets, has_valid)
     marks.add(spark, config.runs_path, [day], run, marks.COMPLETE, config.buckets)
