@@ -129,6 +129,12 @@ report AS (
 )"""
 )
 
+CHECK_COLUMNS = ", ".join(
+    f"""(SELECT {part} FROM report WHERE "check" = '{name}') AS {name}_{part}"""
+    for name in ("duplicate_check", "null_check", "type_consistency_check")
+    for part in ("message", "status", "code")
+)
+
 NUMBER = "'^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$'"
 
 
@@ -204,6 +210,14 @@ FROM replaced""",
 WITH {SNAPSHOTS}
 SELECT id, CAST(first_seen AS VARCHAR) AS first_seen, title, content, im_rating
 FROM replaced""",
+    "change_rows_reduced": f"""
+WITH {SNAPSHOTS}
+SELECT id, CAST(first_seen AS VARCHAR) AS first_seen, title, content, im_rating
+FROM replaced""",
+    "ledger_versions": f"""
+WITH {SNAPSHOTS}
+SELECT id, title, content, im_rating, CAST(min(odate) AS VARCHAR) AS first_seen
+FROM old GROUP BY ALL""",
     "change_history": f"WITH {HISTORIES} SELECT id, history, versions FROM histories",
     "latest_snapshot": f"WITH {LATEST} SELECT id, title, content, im_rating, updated FROM latest",
     "current_snapshot": f"""
@@ -268,14 +282,16 @@ SELECT upper(string_agg(name, ',' ORDER BY name)) AS type_client
 FROM (SELECT DISTINCT lang AS name FROM documents)""",
     "metrics_document": f"""
 WITH {REPORT}
-SELECT 'run-1' AS application_id, CAST(valid AS BIGINT) AS valid_count, invalid AS invalid_count,
-       round(valid / total_records * 100, 6) AS valid_percentage, total_records,
-       '1.50 min' AS total_processing_time,
-       (SELECT message FROM report WHERE "check" = 'null_check') AS null_message,
+SELECT 'run-1' AS application_id, 'NA' AS sigla, 'reviews' AS projeto, 'silver' AS layer_lake,
+       CAST(valid AS BIGINT) AS valid_count, invalid AS invalid_count,
+       round(valid / total_records * 100, 6) AS valid_percentage,
+       round(invalid / total_records * 100, 6) AS invalid_percentage, total_records,
+       '1.50 min' AS total_processing_time, 'numStages=3,numTasks=12' AS stages, {CHECK_COLUMNS},
        (SELECT count(*) FILTER (status) FROM report) AS success_count,
        (SELECT count(*) FILTER (NOT status) FROM report) AS error_count,
        (SELECT upper(string_agg(name, ',' ORDER BY name))
         FROM (SELECT DISTINCT lang AS name FROM documents)) AS type_client,
+       'silver_app_store' AS source_app, 'app_store' AS source_search,
        '2024-01-30 10:00:00' AS start_ts, '2024-01-30 10:01:30' AS end_ts,
        '2024-01-30T10:01:31.250Z' AS "timestamp"
 FROM counts""",
@@ -336,3 +352,15 @@ SELECT event_id, user_id, event_type,
 FROM events""",
     "sample": f"WITH {REVIEWS} SELECT {RAW} FROM reviews ORDER BY id LIMIT 10",
 }
+
+# Other ways to the same rows.
+SQL["ledger_merge"] = SQL["snapshot_merge"]
+SQL["bucketed_snapshot"] = SQL["current_snapshot"]
+SQL["late_day"] = SQL["daily_run"]
+SQL["failed_run"] = """
+SELECT 'datametrics_fail' AS "index", 'silver' AS layer, 'reviews' AS project,
+       'app_store_reviews' AS job, '0' AS priority,
+       string_agg(DISTINCT CASE lang WHEN 'en' THEN 'pf' ELSE 'pj' END, ','
+                  ORDER BY CASE lang WHEN 'en' THEN 'pf' ELSE 'pj' END) AS clients,
+       true AS says_why, true AS raised
+FROM documents"""

@@ -16,12 +16,12 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from reviewloom import schemas, session
 from reviewloom.catalog import lens
 from reviewloom.functions import formats, paths, text
-from reviewloom.operators import joins, merge, quality, sizing
+from reviewloom.operators import bitmaps, joins, ledger, merge, quality, sizing
 from reviewloom.operators.standardize import conform, standardize_reviews
 from reviewloom.plans import daily_run as daily
-from reviewloom.plans import documents, stage_metrics
+from reviewloom.plans import documents, lake, stage_metrics
 from reviewloom.plans.config import RunConfig
-from reviewloom.sinks import metrics, partitions
+from reviewloom.sinks import buckets, metrics, partitions
 from reviewloom.sources import bronze, history, parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TEXT_KEY = "text_key"
 RATED = ("id", "name_client", "im_rating")
 
+# Files a load date that a clustered table is written in.
+BUCKETS = 8
+
 STARTED = datetime(2024, 1, 30, 10, 0, 0, tzinfo=timezone.utc)
 ENDED = datetime(2024, 1, 30, 10, 1, 30, tzinfo=timezone.utc)
 STAMPED = datetime(2024, 1, 30, 10, 1, 31, 250000, tzinfo=timezone.utc)
@@ -283,6 +286,67 @@ def snapshot_merge(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def change_rows_reduced(spark: SparkSession, folder: str) -> DataFrame:
+    """The history reduced by a bitmap of the new ids, as where they fit no broadcast."""
+    new, old = lens.new_and_earlier(spark, folder)
+    return _change_columns(merge.change_rows(new, bitmaps.likely_rows(old, new, schemas.KEY)))
+
+
+def _kept_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger of all days before the last: built from all but two of them, brought forward
+    by those two one at a time, and stored by load date and clustered by id."""
+    path = session.scratch_folder(spark)
+    _, old = lens.new_and_earlier(spark, folder)
+    old = session.store(old.withColumn(schemas.PARTITION, F.date_format(schemas.PARTITION, "yyyyMMdd")))
+    days = old.select(schemas.PARTITION).distinct().orderBy(F.desc(schemas.PARTITION)).limit(2)
+    last = sorted(r[0] for r in days.collect())
+    known = ledger.versions_of(old.filter(~F.col(schemas.PARTITION).isin(last)))
+    for day in last:
+        known = session.store(known)
+        rows = old.filter(F.col(schemas.PARTITION) == day)
+        entries = ledger.known_versions(known, rows.select(schemas.KEY))
+        fresh = ledger.new_versions(rows, entries).withColumn(schemas.PARTITION, F.lit(day))
+        known = known.unionByName(fresh)
+    buckets.write_load_dates(known, path, BUCKETS)
+    return buckets.read(spark, path, ledger.LEDGER, BUCKETS)
+
+
+@query
+def ledger_versions(spark: SparkSession, folder: str) -> DataFrame:
+    return _kept_ledger(spark, folder).select(
+        "id",
+        "title",
+        "content",
+        "im_rating",
+        F.to_date(schemas.PARTITION, "yyyyMMdd").cast("string").alias("first_seen"),
+    )
+
+
+@query
+def ledger_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """The last day merged by newest snapshot and ledger: what all snapshots give."""
+    new, old = lens.new_and_earlier(spark, folder)
+    new = session.store(new)
+    known = ledger.known_versions(_kept_ledger(spark, folder), new.select(schemas.KEY))
+    newest = merge.latest_rows(session.store(old))
+    merged = ledger.merge_with_ledger(new, newest, session.store(known))
+    return merged.select(
+        *_CURRENT, merge.entries_text(F.col("historical_data")).alias("history")
+    )
+
+
+@query
+def bucketed_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest rows stored clustered by id and merged where they lie."""
+    path = session.scratch_folder(spark)
+    new, old = lens.new_and_earlier(spark, folder)
+    newest = merge.latest_rows(session.store(old))
+    buckets.write_load_date(newest, path, "20240129", BUCKETS)
+    stored = buckets.read(spark, path, newest.schema, BUCKETS).drop(schemas.PARTITION)
+    return merge.current_snapshot(new, stored).select(*_CURRENT)
+
+
 # Quality ---------------------------------------------------------------------
 
 
@@ -407,25 +471,43 @@ def metrics_document(spark: SparkSession, folder: str) -> DataFrame:
         _moment(STARTED),
         _moment(ENDED),
         _moment(STAMPED),
+        F.create_map(F.lit("numStages"), F.lit("3"), F.lit("numTasks"), F.lit("12")),
     )
     share = "struct<count: bigint, percentage: double>"
     check = "struct<message: string, status: boolean, code: int>"
     layout = f"""
-        application_id string, valid_data {share}, invalid_data {share}, total_records bigint,
-        total_processing_time string, validation_results struct<null_check: {check}>,
+        application_id string, owner struct<sigla: string, projeto: string, layer_lake: string>,
+        valid_data {share}, invalid_data {share}, total_records bigint,
+        total_processing_time string, stages map<string, string>,
+        validation_results struct<
+            duplicate_check: {check}, null_check: {check}, type_consistency_check: {check}>,
         success_count bigint, error_count bigint, type_client string,
+        source struct<app: string, search: string>,
         _ts struct<start_ts: string, end_ts: string>, timestamp string"""
-    return metrics.parse_documents(saved, layout).select(
+    parsed = metrics.parse_documents(saved, layout)
+    checks = [
+        F.col(f"validation_results.{name}.{part}").alias(f"{name}_{part}")
+        for name in quality.CHECKS
+        for part in ("message", "status", "code")
+    ]
+    return parsed.select(
         "application_id",
+        "owner.*",
         F.col("valid_data.count").alias("valid_count"),
         F.col("invalid_data.count").alias("invalid_count"),
         F.round("valid_data.percentage", 6).alias("valid_percentage"),
+        F.round("invalid_data.percentage", 6).alias("invalid_percentage"),
         "total_records",
         "total_processing_time",
-        F.col("validation_results.null_check.message").alias("null_message"),
+        F.array_join(
+            F.transform(F.map_entries("stages"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ","
+        ).alias("stages"),
+        *checks,
         "success_count",
         "error_count",
         "type_client",
+        F.col("source.app").alias("source_app"),
+        F.col("source.search").alias("source_search"),
         F.col("_ts.start_ts").alias("start_ts"),
         F.col("_ts.end_ts").alias("end_ts"),
         "timestamp",
@@ -486,40 +568,88 @@ def stage_report_kv(spark: SparkSession, folder: str) -> DataFrame:
 # Sinks and the whole run -----------------------------------------------------
 
 
-@query
-def daily_run(spark: SparkSession, folder: str) -> DataFrame:
-    """Two load dates run end to end; silver and quarantine of the second.
+def _two_days(spark: SparkSession, folder: str) -> tuple[RunConfig, RunConfig]:
+    """Raw files of two load dates.
 
-    The first day has all documents, some without an author. The second has the
-    labelled ones with the label as rating, toxic ones twice.
+    The first day has all documents, some without an author. The second has the labelled ones
+    with the label as rating, toxic ones twice.
     """
-    lake = session.scratch_folder(spark)
-    config = RunConfig(
+    base = session.scratch_folder(spark)
+    first_day = RunConfig(
         env="pro",
         as_of="20240101",
-        bronze=f"{lake}/bronze",
-        silver=f"{lake}/silver",
-        quarantine=f"{lake}/quarantine",
-        metrics=f"{lake}/metrics",
+        bronze=f"{base}/bronze",
+        silver=f"{base}/silver",
+        quarantine=f"{base}/quarantine",
+        metrics=f"{base}/metrics",
     )
     reviews = lens.raw_reviews(spark, folder).withColumn(
         "author_name", F.when(F.col("im_version").cast("int") % 7 != 0, F.col("author_name"))
     )
     first = reviews.withColumn("im_rating", F.col("im_version").cast("int") % 5 + 1)
-    _load_bronze(first, config)
-    daily.run(spark, config)
+    _load_bronze(first, first_day)
     labels = lens.table(spark, folder, "labels").select(
         F.col("doc_id").cast("string").alias("id"),
         F.explode(F.sequence(F.lit(0), F.col("toxic"))).alias("copy"),
     )
     second = reviews.withColumn("im_rating", F.col("im_rating") + 1).join(labels, "id")
-    config = replace(config, as_of="20240102")
-    _load_bronze(second.drop("copy"), config)
-    curated = daily.run(spark, config)
+    second_day = replace(first_day, as_of="20240102")
+    _load_bronze(second.drop("copy"), second_day)
+    return first_day, second_day
+
+
+def _stored_day(spark: SparkSession, config: RunConfig) -> DataFrame:
+    """Silver and quarantine of a load date."""
     ratings = F.array_join(F.transform("historical_data", lambda e: e["im_rating"]), ",")
     columns = ["id", "app", "segmento", "im_rating", ratings.alias("history")]
-    return curated.valid.select(*columns, F.lit("valid").alias("reasons")).unionByName(
-        curated.invalid.select(*columns, F.array_join("reasons", ",").alias("reasons"))
+    valid = lake.day_of(spark, config.silver_path, schemas.SILVER, config.as_of)
+    invalid = lake.day_of(spark, config.quarantine_path, schemas.QUARANTINE, config.as_of)
+    return valid.select(*columns, F.lit("valid").alias("reasons")).unionByName(
+        invalid.select(*columns, F.array_join("reasons", ",").alias("reasons"))
+    )
+
+
+@query
+def daily_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two load dates run end to end; silver and quarantine of the second."""
+    first, second = _two_days(spark, folder)
+    daily.run(spark, first)
+    daily.run(spark, second)
+    return _stored_day(spark, second)
+
+
+@query
+def late_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The first load date is run after the second, which is then brought up to date."""
+    first, second = _two_days(spark, folder)
+    daily.run(spark, second)
+    daily.run(spark, first)
+    return _stored_day(spark, second)
+
+
+@query
+def failed_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The document of a run whose silver has no file system: its batch is read, the failure
+    is recorded and raised."""
+    first, _ = _two_days(spark, folder)
+    broken = replace(first, silver="nowhere://lake/silver")
+    try:
+        daily.run(spark, broken)
+    except Exception as error:
+        raised = type(error).__name__
+    else:
+        raised = "nothing"
+    saved = metrics.read_documents(spark, broken.metrics, broken.fail_index)
+    layout = "layer string, project string, job string, priority string, client array<string>, error string"
+    return saved.select("index", F.from_json("document", layout).alias("d")).select(
+        "index",
+        "d.layer",
+        "d.project",
+        "d.job",
+        "d.priority",
+        F.array_join("d.client", ",").alias("clients"),
+        F.col("d.error").contains("nowhere").alias("says_why"),
+        F.lit(raised != "nothing").alias("raised"),
     )
 
 

@@ -75,6 +75,7 @@ def curate(
     known = lake.days(spark, config) if known is None else known
     newest = lake.snapshot(spark, config, known, known.before(config.as_of))
     ledger = lake.ledger(spark, config, known, config.as_of)
+    stored_bytes = sizing.file_bytes(newest) if newest.inputFiles() else 0
     if only is not None:
         batch = joins.rows_with_keys(batch, only, schemas.KEY, stored=True)
         newest = joins.rows_with_keys(newest, only, schemas.KEY, stored=True)
@@ -82,7 +83,7 @@ def curate(
     repeated = tally.filter(F.col(schemas.KEY).isNotNull() & (F.col("n") > 1)).select(schemas.KEY)
     standard = standardize_reviews(quality.unique_rows(batch, repeated=repeated))
     new = session.store(standard.select(*schemas.REVIEW_FIELDS))
-    session.size_shuffles(spark, SHUFFLED * (sizing.file_bytes(new) + _stored_bytes(newest)))
+    session.size_shuffles(spark, SHUFFLED * (sizing.file_bytes(new) + stored_bytes))
     ids = new.select(schemas.KEY)
     entries = session.store(versions.known_versions(ledger, ids, config.broadcast_limit))
     merged = versions.merge_with_ledger(new, newest, entries, config.broadcast_limit)
@@ -106,11 +107,6 @@ def curate(
     )
 
 
-def _stored_bytes(newest: DataFrame) -> int:
-    """Size of the newest snapshot's files; an empty frame has none."""
-    return sizing.file_bytes(newest) if newest.inputFiles() else 0
-
-
 def _run_counts(spark: SparkSession, tally: DataFrame, counted: dict[str, int]) -> DataFrame:
     """Counters of the run as one literal row.
 

@@ -48,9 +48,7 @@ def rebuild_ledger(spark: SparkSession, config: RunConfig) -> None:
     if config.buckets is None:
         partitions.write_partitioned(found, config.ledger_path)
     else:
-        for row in found.select(schemas.PARTITION).distinct().collect():
-            day = row[0]
-            _write(found.filter(F.col(schemas.PARTITION) == day), config.ledger_path, day, config.buckets)
+        buckets.write_load_dates(found, config.ledger_path, config.buckets)
 
 
 def snapshot(spark: SparkSession, config: RunConfig, known: marks.Days, day: str | None) -> DataFrame:

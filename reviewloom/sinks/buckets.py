@@ -7,10 +7,10 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from reviewloom.schemas import KEY, PARTITION
-from reviewloom.sinks import partitions
+from reviewloom.sources import parquet
 
 
 def _declared(
@@ -29,7 +29,6 @@ def _declared(
         f" PARTITIONED BY (`{partition_column}`) CLUSTERED BY (`{key}`) SORTED BY (`{key}`)"
         f" INTO {buckets} BUCKETS LOCATION '{location}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     return name
 
 
@@ -51,20 +50,46 @@ def write_load_date(
     rows = frame.drop(partition_column)
     if has_rows is None:
         has_rows = not rows.isEmpty()
+    spark = frame.sparkSession
     if not has_rows:
-        return partitions.write_load_date(rows, path, load_date, has_rows=False)
+        _clear(spark, rows, path, load_date, buckets, key, partition_column)
+        return False
+    write_load_dates(
+        rows.withColumn(partition_column, F.lit(load_date)), path, buckets, key, partition_column
+    )
+    return True
+
+
+def write_load_dates(
+    frame: DataFrame, path: str, buckets: int, key: str = KEY, partition_column: str = PARTITION
+) -> None:
+    """Replace the partitions that occur in ``frame``; others stay."""
+    columns = [name for name in frame.columns if name != partition_column]
+    rows = frame.select(*columns, F.col(partition_column).cast("string").alias(partition_column))
     spark = frame.sparkSession
-    name = _declared(spark, path, rows.schema, buckets, key, partition_column)
+    name = _declared(spark, path, rows.drop(partition_column).schema, buckets, key, partition_column)
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting, "static")
     spark.conf.set(setting, "dynamic")
     try:
-        rows.withColumn(partition_column, F.lit(load_date)).repartition(buckets, key).write.mode(
-            "overwrite"
-        ).insertInto(name)
+        rows.repartition(buckets, key).write.mode("overwrite").insertInto(name)
     finally:
         spark.conf.set(setting, before)
-    return True
+
+
+def _clear(
+    spark: SparkSession, rows: DataFrame, path: str, load_date: str, buckets: int, key: str, partition_column: str
+) -> None:
+    """Remove the files of one load date, if there are any."""
+    if parquet.scan(spark, f"{path}/{partition_column}={load_date}", rows.schema) is None:
+        return
+    name = _declared(spark, path, rows.schema, buckets, key, partition_column)
+    rows.limit(0).createOrReplaceTempView(f"{name}_no_rows")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION (`{partition_column}` = '{load_date}')"
+        f" SELECT * FROM {name}_no_rows"
+    )
+    spark.catalog.dropTempView(f"{name}_no_rows")
 
 
 def read(
@@ -75,8 +100,13 @@ def read(
     key: str = KEY,
     partition_column: str = PARTITION,
 ) -> DataFrame:
-    """All load dates. ``schema`` without the partition column and ``buckets`` must be those
-    that were written."""
+    """All load dates; no rows where nothing has been written. ``schema`` without the partition
+    column and ``buckets`` must be those that were written."""
+    dated = StructType([*schema.fields, StructField(partition_column, StringType(), True)])
+    if parquet.scan(spark, path, dated, base_path=path) is None:
+        return parquet.empty(spark, dated)
     name = _declared(spark, path, schema, buckets, key, partition_column)
+    # other sessions may have written load dates that this one's catalog has not got
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
     return spark.table(name)

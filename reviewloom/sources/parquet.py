@@ -15,6 +15,13 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     )
 
 
+def _matches(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or glob finds anything, as the file system of the path says."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return found is not None and len(found) > 0
+
+
 def scan(
     spark: SparkSession,
     path: str,
@@ -25,6 +32,8 @@ def scan(
 
     Any other analysis error, such as an unreadable schema, is raised.
     """
+    if not _matches(spark, path):
+        return None
     reader = spark.read.schema(schema)
     if base_path is not None:
         reader = reader.option("basePath", base_path)
