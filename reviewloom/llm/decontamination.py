@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -15,8 +16,8 @@ from xxhash import xxh64_intdigest
 from reviewloom import session
 from reviewloom.llm.common import bounded_batches
 
-# A tile has at least this many tokens; so has a seed. Items with fewer are never found:
-# so short a text is no evidence.
+# A tile has at least this many tokens; so has a seed. Items with fewer are one tile, found
+# where all their tokens stand in a row.
 LEAST_TILE = 5
 # Share of an item's tokens that tiles must cover, in whatever order they stand.
 LEAST_COVERAGE = 0.6
@@ -24,10 +25,16 @@ LEAST_COVERAGE = 0.6
 BLOCK_TOKENS = 1_000_000
 
 # A token is a run of letters and digits, case folded: punctuation, layout and case of a
-# copied passage may differ.
-_tokens = re.compile(r"[^\W_]+").findall
-# In texts without other signs than ASCII ones, the same tokens are cut faster as bytes.
-_other_sign = re.compile(r"[^\x00-\x7f\w]").search
+# copied passage may differ. In scripts that put no spaces between words (Thai to Khmer,
+# kana, Chinese characters) every letter is a token.
+_UNSPACED = (
+    r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF"
+    r"\uF900-\uFAFF\U00020000-\U0003FFFF"
+)
+_tokens = re.compile(rf"[{_UNSPACED}]|[^\W_{_UNSPACED}]+").findall
+# In texts without those and without other signs than ASCII ones, the same tokens are cut
+# faster as bytes.
+_other_sign = re.compile(rf"[{_UNSPACED}]|[^\x00-\x7f\w]").search
 _SIGNS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 _SIEVE = 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -89,38 +96,93 @@ def _grams(tokens: np.ndarray, length: int) -> np.ndarray:
     return value
 
 
+def _running(tokens: np.ndarray, backward: np.ndarray) -> np.ndarray:
+    """Sums of tokens times powers, from which a window of any length is hashed at once.
+    ``backward`` are the powers of the inverse base."""
+    return np.append(np.uint64(0), np.cumsum(tokens * backward[: len(tokens)]))
+
+
+def _window_hashes(sums: np.ndarray, forward: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    return (sums[at + length] - sums[at]) * forward[at]
+
+
+def _free_windows(free: np.ndarray, length: int) -> np.ndarray:
+    """Where windows of ``length`` places without a mark begin."""
+    marks = np.append(0, np.cumsum(~free))
+    return np.flatnonzero(marks[length:] == marks[: len(marks) - length])
+
+
+def _base_powers(base: int, number: int) -> np.ndarray:
+    return np.append(np.uint64(1), np.cumprod(np.full(max(number, 1), base, np.uint64)))
+
+
+def _common_runs(i: np.ndarray, j: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+    """Matches (length, place in item, place in text) from pairs of equal windows: pairs
+    that follow each other on a diagonal are one match."""
+    order = np.lexsort((i, j - i))
+    i, j = i[order], j[order]
+    ends = np.flatnonzero((np.diff(i) != 1) | (np.diff(j) != 1))
+    first, last = np.append(0, ends + 1), np.append(ends, len(i) - 1)
+    sizes = last - first + length
+    return list(zip(sizes.tolist(), i[first].tolist(), j[first].tolist()))
+
+
 def tiled(item: np.ndarray, text: np.ndarray, least: int = LEAST_TILE) -> int:
     """How many tokens of ``item`` greedy string tiling against ``text`` covers.
 
-    From the longest possible length down, windows without a marked token are compared by
-    Karp-Rabin hashes, and equal ones, verified token by token, are marked on both sides.
+    Running Karp-Rabin: at a search length the hashes of all windows without a mark come
+    from running sums, and equal ones, verified token by token, are extended to whole
+    matches. The longest is marked first, on both sides; what a mark leaves of others goes
+    back among them. Then the search length is halved, down to ``least``.
     """
     free_item, free_text = np.ones(len(item), bool), np.ones(len(text), bool)
-    length = min(len(item), len(text)) + 1
-    while (length := min(length - 1, _longest_run(free_item))) >= least:
-        of_item, of_text = _grams(item, length), _grams(text, length)
-        shared = np.isin(of_item, of_text)
-        if not shared.any():
-            continue
-        places: dict[int, list[int]] = {}
-        for j in np.flatnonzero(np.isin(of_text, of_item[shared])):
-            places.setdefault(int(of_text[j]), []).append(int(j))
-        for i in np.flatnonzero(shared):
-            if not free_item[i : i + length].all():
-                continue
-            for j in places[int(of_item[i])]:
-                if free_text[j : j + length].all() and np.array_equal(
-                    item[i : i + length], text[j : j + length]
-                ):
-                    free_item[i : i + length] = free_text[j : j + length] = False
-                    break
+    longest = max(len(item), len(text))
+    backward = _base_powers(pow(int(_BASE), -1, 1 << 64), longest)
+    forward = _base_powers(int(_BASE), longest)
+    sums_item, sums_text = _running(item, backward), _running(text, backward)
+    length = min(len(item), len(text))
+    while length >= least:
+        i, j = _free_windows(free_item, length), _free_windows(free_text, length)
+        of_item = _window_hashes(sums_item, forward, i, length)
+        of_text = _window_hashes(sums_text, forward, j, length)
+        kept = np.isin(of_text, of_item)
+        j, of_text = j[kept], of_text[kept]
+        order = np.argsort(of_item, kind="stable")
+        low = np.searchsorted(of_item[order], of_text)
+        counts = np.searchsorted(of_item[order], of_text, side="right") - low
+        if counts.sum():
+            rows = np.repeat(low - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
+            _mark(_common_runs(i[order[rows]], np.repeat(j, counts), length), item, text, free_item, free_text, length)
+        if length == least:
+            break
+        length = max(least, length // 2)
     return int((~free_item).sum())
 
 
-def _longest_run(free: np.ndarray) -> int:
-    """The most free places in a row."""
-    taken = np.flatnonzero(~free)
-    return int(np.diff(np.concatenate([[-1], taken, [len(free)]])).max()) - 1
+def _mark(
+    matches: list[tuple[int, int, int]],
+    item: np.ndarray,
+    text: np.ndarray,
+    free_item: np.ndarray,
+    free_text: np.ndarray,
+    length: int,
+) -> None:
+    """Mark matches, the longest first; of one that is partly marked by then, or whose tokens
+    differ for all their hashes, the free and equal pieces of ``length`` are put back."""
+    waiting = [(-size, i, j) for size, i, j in matches]
+    heapq.heapify(waiting)
+    while waiting:
+        size, i, j = heapq.heappop(waiting)
+        size = -size
+        usable = free_item[i : i + size] & free_text[j : j + size]
+        usable &= item[i : i + size] == text[j : j + size]
+        if usable.all():
+            free_item[i : i + size] = free_text[j : j + size] = False
+            continue
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], usable, [False]])))
+        for begin, end in edges.reshape(-1, 2).tolist():
+            if end - begin >= length:
+                heapq.heappush(waiting, (begin - end, i + begin, j + begin))
 
 
 class Hit(NamedTuple):
@@ -129,15 +191,15 @@ class Hit(NamedTuple):
     tokens: int
 
 
-class Block:
-    """A block of benchmark items, found by their seeds."""
+class Seeds:
+    """The windows of ``length`` tokens of some items, sorted by hash."""
 
-    def __init__(self, items: list[np.ndarray], least: int = LEAST_TILE):
-        self.items, self.least = items, least
-        seeds = [_grams(item, least) for item in items]
-        hashes = np.concatenate([*seeds, np.empty(0, np.uint64)])
-        owners = np.repeat(np.arange(len(items)), [len(s) for s in seeds])
-        places = np.concatenate([*(np.arange(len(s)) for s in seeds), np.empty(0, np.int64)])
+    def __init__(self, items: list[np.ndarray], numbers: list[int], length: int):
+        self.length = length
+        grams = [_grams(items[n], length) for n in numbers]
+        hashes = np.concatenate([*grams, np.empty(0, np.uint64)])
+        owners = np.repeat(np.array(numbers, np.int64), [len(g) for g in grams])
+        places = np.concatenate([*(np.arange(len(g)) for g in grams), np.empty(0, np.int64)])
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.owners = hashes[order], owners[order]
         self.places = places[order].astype(np.int64)
@@ -145,45 +207,64 @@ class Block:
         self.sieve = np.zeros(1 << _SIEVE, bool)
         self.sieve[self.hashes >> np.uint64(64 - _SIEVE)] = True
 
+    def joined(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shared seeds: the item, the place in it and the place in the text of each."""
+        none = np.empty(0, np.int64)
+        own = _grams(text, self.length)
+        if not len(own) or not len(self.hashes):
+            return none, none, none
+        at = np.flatnonzero(self.sieve[own >> np.uint64(64 - _SIEVE)])
+        low = np.searchsorted(self.hashes, own[at])
+        counts = np.searchsorted(self.hashes, own[at], side="right") - low
+        rows = np.repeat(low - np.append(0, np.cumsum(counts))[:-1], counts) + np.arange(counts.sum())
+        return self.owners[rows], self.places[rows], np.repeat(at, counts)
+
+
+class Block:
+    """A block of benchmark items, found by their seeds."""
+
+    def __init__(self, items: list[np.ndarray], least: int = LEAST_TILE):
+        self.items = items
+        lengths: dict[int, list[int]] = {}
+        for number, item in enumerate(items):
+            if len(item):
+                lengths.setdefault(min(least, len(item)), []).append(number)
+        self.seeds = [Seeds(items, numbers, length) for length, numbers in sorted(lengths.items())]
+
     def hits(self, text: np.ndarray, coverage: float = LEAST_COVERAGE) -> list[Hit]:
-        """Items of which tiles cover enough.
+        """Items of which tiles cover enough, by number.
 
         Every tile is made of shared seeds, so an item whose seeds in the text cover too
         little is left out at once, and only the text around its seeds is tiled.
         """
-        own = _grams(text, self.least)
-        if not len(own) or not len(self.hashes):
-            return []
-        at = np.flatnonzero(self.sieve[own >> np.uint64(64 - _SIEVE)])
-        low = np.searchsorted(self.hashes, own[at])
-        low[low == len(self.hashes)] = 0
-        seeds = self.hashes[low] == own[at]
-        at, low = at[seeds], low[seeds]
-        if not len(at):
-            return []
-        high = np.searchsorted(self.hashes, own[at], side="right")
-        counts = high - low
-        rows = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-        where = np.repeat(at, counts)
         found = []
-        for number in np.unique(self.owners[rows]).tolist():
-            item = self.items[number]
-            mine = self.owners[rows] == number
-            if _union(self.places[rows[mine]], self.least) < coverage * len(item):
-                continue
-            covered = tiled(item, self._around(text, where[mine]), self.least)
-            if covered >= coverage * len(item):
-                found.append(Hit(number, covered, len(item)))
-        return found
-
-    def _around(self, text: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """The runs of seeds of a text, one after the other, kept apart by marks."""
-        places = np.unique(places)
-        breaks = np.flatnonzero(np.diff(places) > self.least) + 1
-        parts = []
-        for n, run in enumerate(np.split(places, breaks)):
-            parts += [text[run[0] : run[-1] + self.least], np.array([n], np.uint64)]
-        return np.concatenate(parts)
+        for seeds in self.seeds:
+            owners, places, where = seeds.joined(text)
+            order = np.argsort(owners, kind="stable")
+            owners, places, where = owners[order], places[order], where[order]
+            borders = np.flatnonzero(np.diff(owners)) + 1
+            for begin, end in zip(np.append(0, borders), np.append(borders, len(owners))):
+                if begin == end:
+                    continue
+                number = int(owners[begin])
+                item = self.items[number]
+                if _union(places[begin:end], seeds.length) < coverage * len(item):
+                    continue
+                around = _around(text, where[begin:end], seeds.length)
+                covered = tiled(item, around, seeds.length)
+                if covered >= coverage * len(item):
+                    found.append(Hit(number, covered, len(item)))
+        return sorted(found)
+
+
+def _around(text: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """The runs of seeds of a text, one after the other, kept apart by marks."""
+    places = np.unique(places)
+    breaks = np.flatnonzero(np.diff(places) > length) + 1
+    parts = []
+    for n, run in enumerate(np.split(places, breaks)):
+        parts += [text[run[0] : run[-1] + length], np.array([n], np.uint64)]
+    return np.concatenate(parts)
 
 
 def _union(places: np.ndarray, length: int) -> int:
@@ -192,15 +273,21 @@ def _union(places: np.ndarray, length: int) -> int:
     return int(np.minimum(np.diff(places), length).sum() + length) if len(places) else 0
 
 
+def _hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in batches:
+        yield pd.Series([token_hashes(text).view(np.int64) for text in batch], dtype=object)
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """Items in blocks of bounded size, streamed: (item ids, items)."""
+    """Items in blocks of bounded size, hashed on executors and streamed: (item ids, items).
+    Items without a token match nothing."""
+    hashes = F.pandas_udf(_hashed, "array<bigint>")(F.coalesce("text", F.lit("")))
     ids, items, held = [], [], 0
-    for item_id, text in benchmark.select("item_id", "text").toLocalIterator():
-        found = token_hashes(text or "")
-        if len(found) >= LEAST_TILE:
+    for item_id, tokens in benchmark.select("item_id", hashes.alias("tokens")).toLocalIterator():
+        if tokens:
             ids.append(item_id)
-            items.append(found)
-            held += len(found)
+            items.append(np.array(tokens, np.int64).view(np.uint64))
+            held += len(tokens)
         if held >= BLOCK_TOKENS:
             yield ids, items
             ids, items, held = [], [], 0
@@ -275,7 +362,11 @@ def contaminated(
 def clean_documents(
     documents: DataFrame, benchmark: DataFrame, coverage: float = LEAST_COVERAGE
 ) -> DataFrame:
-    """The documents that hold no benchmark item, all columns as they were."""
+    """The documents that hold no benchmark item, all columns as they were.
+
+    Null and empty texts hold none and stay, as do null ids; repeated rows go or stay
+    together; columns of any name are returned. Empty tables are results like others.
+    """
     spark = documents.sparkSession
     bounded_batches(spark)
     kind = _kind(benchmark)

@@ -93,14 +93,15 @@ def mixed(
     Columns: ``doc`` (the input row, or its ``carried`` columns, as a struct), ``size``,
     ``source_size``, ``target``, ``copies``, ``taken`` (words, repeats counted) and
     ``before`` (words of the source before it). A source is read in order of a digest of
-    ``doc_id`` as often as its target goes into its size; the last reading ends at the
+    ``doc_id`` and text, which spreads documents that share an id, as often as its target goes into its size; the last reading ends at the
     document that crosses the target, which is taken if its middle lies before it.
 
     One row per input row: repeated rows count as rows of their own, null ids and sources
     are values like others (null last), null and empty texts have size 0. An empty table
     gives an empty result.
     """
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    digest = F.md5(F.concat(name, F.lit(":"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary"))
     rows = documents.select(
         F.struct(*(["*"] if carried is None else carried)).alias("doc"), "source", n_words().alias("size"), digest.alias("digest")
     ).withColumn("range", F.conv(F.substring("digest", 1, 3), 16, 10).cast("int"))
@@ -159,12 +160,17 @@ def mix(documents: DataFrame) -> DataFrame:
 def training_set(
     documents: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES
 ) -> DataFrame:
-    """The documents the mix takes, once per copy, in training order, columns as they were."""
+    """The documents the mix takes, once per copy, in training order, columns as they were.
+
+    Ties in position are ordered by id, null first, and text. Null and empty texts are not
+    taken, having no words; repeated rows count as rows of their own; columns of any name are
+    returned. An empty table gives an empty result.
+    """
     copies = mixed(documents, schedules=schedules).filter("copies > 0").withColumn(
         "copy", F.explode(F.sequence(F.lit(0).cast(_LONG), F.col("copies") - 1))
     )
     return (
         copies.withColumn("position", _position(F.col("copy"), schedules))
-        .orderBy("position", "doc.doc_id", "copy")
+        .orderBy("position", "doc.doc_id", F.xxhash64("doc.text"), "copy")
         .select("doc.*")
     )

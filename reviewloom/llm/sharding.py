@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom import session
+from reviewloom.operators import joins, sizing
 
 SHARDS = 16
 
@@ -34,28 +35,66 @@ class Split(NamedTuple):
     right: int
 
 
-def _prefix_code(text: Column) -> Column:
-    """The first six bytes of a text as a number in the same order; null is last."""
-    digits = F.rpad(F.hex(F.substring(text.cast("binary"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(digits, 16, 10).cast("double"), F.lit(2.0**48))
+def _ranked(documents: DataFrame, column: str) -> DataFrame:
+    """The distinct values of ``column`` as text, each with its ``rank`` from 0; stored.
+
+    Spark sorts them in ranges; a range's first rank is the number of values before it. One
+    row per range comes to the driver.
+    """
+    value = F.col(column).cast("string").alias("value")
+    values = documents.select(value).filter("value IS NOT NULL").distinct()
+    # numbered within their range, in order; the range is in the upper bits
+    placed = session.store(values.orderBy("value").withColumn("at", F.monotonically_increasing_id()))
+    ranges = placed.groupBy(F.shiftright("at", 33).alias("range")).count().orderBy("range").collect()
+    before, first = 0, []
+    for row in ranges:
+        first += [F.lit(row["range"]), F.lit(before)]
+        before += row["count"]
+    if not first:
+        return placed.select("value", F.col("at").alias("rank"))
+    start = F.element_at(F.create_map(*first), F.shiftright("at", 33))
+    return placed.select("value", (start + F.col("at").bitwiseAND((1 << 33) - 1)).alias("rank"))
+
+
+def _with_rank(rows: DataFrame, ranks: DataFrame, column: str, name: str) -> DataFrame:
+    """``rows`` with the rank of ``column`` as ``name``; null is last.
+
+    The values are sent to the rows where they are measured to be few; else rows are joined
+    with the hot values spread.
+    """
+    keyed = rows.withColumn("value", F.col(column).cast("string"))
+    if sizing.is_small(ranks):
+        found = keyed.join(F.broadcast(ranks), "value", "left")
+    else:
+        found = joins.salted_join(keyed, ranks, "value", "left")
+    return found.withColumn(name, F.coalesce("rank", F.lit(ranks.count())).cast("double")).drop("value", "rank")
 
 
 def measured(documents: DataFrame) -> DataFrame:
-    """``doc`` (the input row as a struct) with what the tree needs to know of it."""
+    """``doc`` (the input row as a struct) with what the tree needs to know of it.
+
+    ``hash`` differs between rows that repeat an id and a text too, by their place in the
+    input, so that a cut can pass between them: ``documents`` should be a stored table, which
+    gives a row the same place whenever it is read.
+    """
     text = F.coalesce("text", F.lit(""))
     size = (F.octet_length(text).cast("bigint") + 1).alias("size")
     rows = documents.select(
-        F.struct("*").alias("doc"), size, F.crc32(text.cast("binary")).alias("text_crc32")
+        F.struct("*").alias("doc"),
+        size,
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    return rows.select(
+    rows = rows.select(
         "doc",
         "size",
         "text_crc32",
-        F.xxhash64("doc.doc_id", "text_crc32").alias("hash"),
-        _prefix_code(F.col("doc.source").cast("string")).alias("by_source"),
-        _prefix_code(F.col("doc.lang").cast("string")).alias("by_lang"),
+        F.xxhash64("doc.doc_id", "text_crc32", "row").alias("hash"),
         F.log2("size").alias("by_size"),
     )
+    for column in ("source", "lang"):
+        rows = _with_rank(rows, _ranked(documents, column), f"doc.{column}", f"by_{column}")
+    return rows
 
 
 DIMENSIONS = ("by_source", "by_lang", "by_size")
@@ -202,9 +241,12 @@ def grow(rows: DataFrame, shards: int = SHARDS) -> Tree:
 def sharded(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc`` (the input row as a struct), ``size``, ``text_crc32``, ``shard``, ``slot``.
 
-    Shards are nearly equal in bytes; equal texts lie together but for those at a cut.
-    Slots count a shard's rows from 0. One row per input row: repeated rows and null ids
-    are rows like others, a null text has no bytes. An empty table gives an empty result.
+    Shards are nearly equal in bytes. Equal texts of one source and language lie together but
+    where a cut must pass between them, as they alone weigh more than the cut's precision;
+    those of several sources or languages may lie in several shards. Slots count a shard's
+    rows from 0. One row per input row: repeated rows and null ids are rows like others, a
+    null text has no bytes. An empty table gives an empty result. ``documents`` should be a
+    stored table, see ``measured``.
     """
     rows = measured(documents)
     tree = grow(session.store(rows.drop("doc")), shards)
@@ -241,7 +283,10 @@ def shards_of(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def sharded_documents(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The documents with all columns, and ``shard`` and ``slot`` in place of any so named."""
+    """The documents with all columns, and ``shard`` and ``slot`` in place of any so named.
+
+    Null, empty, repeated and clashing input: see ``sharded``.
+    """
     kept = [c for c in documents.columns if c.lower() not in ("shard", "slot")]
     return sharded(documents, shards).select(
         *(F.col("doc").getField(c).alias(c) for c in kept), "shard", "slot"

@@ -37,27 +37,38 @@ _ENDS = {
 _WRITING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".split())
 # Never part of the main text, wherever they stand; a header only outside the article.
 _NEVER = frozenset("head nav footer aside form button select dialog fieldset menu".split())
-_NEVER_NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|menu|"
+_UNWANTED = (
+    r"(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|menu|"
     r"navbar|newsletter|notice|popup|promo|related|share|sharing|sidebar|sponsor(?:ed)?|"
-    r"subscribe)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"subscribe)"
 )
+# Outside the article a part of a class or id says so; inside it only a whole one, and not on
+# the article's own text blocks.
+_NEVER_NAMED = re.compile(rf"(?:^|[\s_-]){_UNWANTED}(?:$|[\s_-])", re.IGNORECASE)
+_NEVER_NAMED_INSIDE = re.compile(rf"(?:^|\s){_UNWANTED}(?:$|\s)", re.IGNORECASE)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
+# Attributes up to the end of the tag. A quote only counts after an equals sign and where it
+# is closed; nothing is tried twice, so broken markup takes no longer.
+_REST = r"""(?>=\s*"[^"]*"|=\s*'[^']*'|[^>])*+"""
+# A name ends where no letter, digit or hyphen follows: <title-bar> is no <title>.
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(_RAW)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"|<svg(?=[\s/>])(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>/]|/(?!>))*+/>"
+    rf"|<(?P<raw>{'|'.join(_RAW)})(?=[\s/>]){_REST}>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>{_REST})>"
     r"|<[!?][^>]*>",
     re.IGNORECASE | re.DOTALL,
 )
 
+# Why an element is hidden: a form around a whole article hides its other parts only.
+_BY_FORM, _BY_OTHER = 1, 2
+
 
 class _Element:
     __slots__ = ("name", "hash", "blocks", "hidden", "article", "inside", "holds")
 
-    def __init__(self, name: str, blocks: int, hidden: bool, article: bool, inside: bool):
+    def __init__(self, name: str, blocks: int, hidden: int, article: bool, inside: bool):
         self.name, self.blocks, self.hidden, self.article = name, blocks, hidden, article
         # stands in, or has in it, writing of an article
         self.inside, self.holds = inside, False
@@ -77,7 +88,7 @@ class Page:
         self.subtrees: set[int] = set()
         self.blocks: list[tuple[bool, str]] = []
         self.words: list[str] = []
-        self.open: list[_Element] = [_Element("", 0, False, False, False)]
+        self.open: list[_Element] = [_Element("", 0, 0, False, False)]
         self.has_article = False
         at = 0
         for mark in _MARKUP.finditer(source):
@@ -131,9 +142,15 @@ class Page:
         top = self.open[-1]
         article = top.article or name in ("article", "main")
         self.has_article |= article
-        hidden = top.hidden or name in _NEVER or (name == "header" and not article)
-        if not hidden and rest and name not in ("html", "body", "main", "article"):
-            hidden = any(_NEVER_NAMED.search(a or b or c) for a, b, c in _NAMES.findall(rest))
+        hidden = top.hidden
+        if name in ("main", "article"):
+            hidden = 0 if hidden == _BY_FORM else hidden
+        elif name in _NEVER or (name == "header" and not article):
+            hidden = max(hidden, _BY_FORM if name == "form" else _BY_OTHER)
+        elif not hidden and rest and name not in ("html", "body") and not (top.article and name in _WRITING):
+            unwanted = _NEVER_NAMED_INSIDE if top.article else _NEVER_NAMED
+            if any(unwanted.search(a or b or c) for a, b, c in _NAMES.findall(rest)):
+                hidden = _BY_OTHER
         inside = top.inside or (article and name in _WRITING)
         self.open.append(_Element(name, len(self.blocks), hidden, article, inside))
 
@@ -217,8 +234,11 @@ def main_texts(pages: DataFrame, many: int = MANY_PAGES) -> DataFrame:
         "page_id", "url", source.alias("html"), host.alias("host"), F.xxhash64("url", source).alias("page")
     )
     parsed = _udf(_parsed, "content binary, subtrees array<bigint>")(F.col("html"))
-    elements = rows.select("host", "page", parsed.alias("parsed")).select(
-        "host", "page", F.col("parsed.content").alias("content"), F.explode("parsed.subtrees").alias("subtree")
+    # stored, as it is read twice: parsing takes most of the time
+    elements = session.store(
+        rows.select("host", "page", parsed.alias("parsed")).select(
+            "host", "page", F.col("parsed.content").alias("content"), F.explode("parsed.subtrees").alias("subtree")
+        )
     )
     counted = session.store(
         elements.groupBy("host", "subtree", "content").agg(F.count(F.lit(1)).alias("n"))

@@ -139,6 +139,49 @@ def test_sharding(odd):
     assert sharding.sharded_documents(frame, 4).columns == ["doc_id", "text", "lang", "source", "size", "shard", "slot"]
 
 
+def stored_docs(spark, path, rows):
+    """Documents as a table of several files, whose rows keep their places."""
+    spark.createDataFrame(rows, DOCS).repartition(5).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+@pytest.mark.parametrize("same_id", [7, None])
+def test_shards_of_many_repeated_rows_are_equal_in_bytes(spark, tmp_path, same_id):
+    """Two fifths of the rows are one row; sources share a long prefix."""
+    rng = random.Random(11)
+    names = [f"https://site{k}.org" for k in range(16)]
+    rows = [(i, "x" * rng.randint(20, 80), "en", rng.choice(names), 1, "s") for i in range(600)]
+    rows += [(same_id, "the same text of every copy, fifty characters long", None, names[3], 1, "s")] * 400
+    found = sharding.shards_of(stored_docs(spark, tmp_path / "docs", rows), 16).collect()
+    assert len(found) == 1000
+    weights, slots = collections.Counter(), collections.defaultdict(list)
+    for r in found:
+        weights[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(weights.values()) / 16
+    assert len(weights) == 16
+    assert max(abs(w - mean) for w in weights.values()) <= 2 * 81
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_sources_of_one_prefix_are_split_by_source(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(i, "x" * rng.randint(50, 60), "en", f"https://site{i % 16:02d}.org", 1, "s") for i in range(1600)]
+    rows += [(2000, "far", "en", "zzz", 1, "s"), (2001, "none", "en", None, 1, "s")]
+    found = sharding.sharded_documents(stored_docs(spark, tmp_path / "docs", rows), 16).collect()
+    per = collections.defaultdict(set)
+    for r in found:
+        per[r["shard"]].add(r["source"])
+    assert max(map(len, per.values())) <= 5
+
+
+def test_ranks_are_dense_and_in_order(spark):
+    values = [f"v{k:03d}" for k in range(300)] + [None]
+    frame = spark.createDataFrame([(v,) for v in values * 2], "source string").repartition(6)
+    found = {r["value"]: r["rank"] for r in sharding._ranked(frame, "source").collect()}
+    assert found == {v: k for k, v in enumerate(sorted(v for v in values if v))}
+
+
 def fingerprint(text):
     found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
     shingles = [" ".join(found[i : i + 4]) for i in range(max(1, len(found) - 3))] if found else []
@@ -299,7 +342,7 @@ def test_decontamination(spark, odd):
         (903, "seven small boats drift past, and nothing else of it", "en", "s", 1, "x"),
     ]
     docs = frame.unionByName(spark.createDataFrame(extra, DOCS))
-    items = spark.createDataFrame([(1, item), (2, None), (3, "too short")], "item_id bigint, text string")
+    items = spark.createDataFrame([(1, item), (2, None), (3, "too short"), (4, "--")], "item_id bigint, text string")
     found = decontamination.contaminated(docs, items).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(901, 1), (902, 1)}
     clean = decontamination.clean_documents(docs, items)
@@ -307,6 +350,115 @@ def test_decontamination(spark, odd):
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
+def brute_tiles(item, text, least):
+    """The longest match of unmarked tokens first, until none has ``least``."""
+    free_item, free_text = [True] * len(item), [True] * len(text)
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(text)):
+                k = 0
+                while (
+                    i + k < len(item) and j + k < len(text) and item[i + k] == text[j + k]
+                    and free_item[i + k] and free_text[j + k]
+                ):
+                    k += 1
+                if k > best[0]:
+                    best = (k, i, j)
+        size, i, j = best
+        if size < least:
+            return free_item.count(False)
+        free_item[i : i + size] = free_text[j : j + size] = [False] * size
+
+
+def test_tiles_equal_brute_force():
+    rng = random.Random(13)
+    for _ in range(400):
+        letters = rng.choice([2, 3, 8])
+        item, text = (
+            np.array([rng.randrange(letters) + 1 for _ in range(rng.randint(0, 30))], np.uint64) for _ in "ab"
+        )
+        least = rng.choice([1, 2, 3, 5])
+        assert decontamination.tiled(item, text, least) == brute_tiles(item.tolist(), text.tolist(), least)
+
+
+def test_long_pairs_are_tiled_at_once():
+    rng = np.random.default_rng(14)
+    item = rng.integers(0, 2**63, 20_000).astype(np.uint64)
+    text = item.copy()
+    text[::7] += np.uint64(1)
+    # all but every seventh token, and the one token that stands last by itself
+    assert decontamination.tiled(item, text) >= 20_000 * 6 // 7 - 6
+
+
+def test_pairs_equal_brute_force_over_all_items(spark):
+    """Items of 0 to 12 tokens, short ones as whole runs, some without spaces."""
+    rng = random.Random(15)
+    word = lambda: rng.choice(["ka", "lo", "mi", "ne", "pu"])
+    items = [(i, " ".join(word() for _ in range(rng.randint(0, 12)))) for i in range(25)]
+    items += [(30, "漢字を切り分ける文です"), (31, "長い文"), (32, None)]
+    docs = [(i, " ".join(word() for _ in range(rng.randint(0, 60))), "", "", 0, "") for i in range(60)]
+    docs += [(70, "前に漢字を切り分ける文です。後", "", "", 0, ""), (71, "長 い文だ", "", "", 0, ""), (72, None, "", "", 0, "")]
+    cut = lambda t: decontamination.token_hashes(t or "").tolist()
+    want = set()
+    for d, text, *_ in docs:
+        for i, item in items:
+            tokens = cut(item)
+            covered = tokens and brute_tiles(tokens, cut(text), min(5, len(tokens)))
+            if tokens and covered >= decontamination.LEAST_COVERAGE * len(tokens):
+                want.add((d, i, covered, len(tokens)))
+    found = decontamination.contaminated(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id bigint, text string")
+    ).collect()
+    assert {(70, 30), (71, 31)} <= {(r["doc_id"], r["item_id"]) for r in found}
+    assert {(r["doc_id"], r["item_id"], r["covered"], r["item_tokens"]) for r in found} == want
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p>a</p><svg/><p>b</p><p>c</p>", "a\nb\nc"),
+        ("<p>1</p><svg d=\"a/>b\"><path d='m'/></svg><p>2</p>", "1\n2"),
+        ("<article><title-bar></title-bar><p>x</p></article>", "x"),
+        ("<template-card>y</template-card><p>z</p>", "y\nz"),
+        ('<article><h2 id="related-work">r</h2><p class="share-price">s</p></article>', "r\ns"),
+        ('<article><section id="comments-on-law"><p>c</p></section></article>', "c"),
+        ('<article><p>a</p><div class="x comments"><p>no</p></div></article>', "a"),
+        ("<form><nav>n</nav><article><p>kept</p><form>no</form></article><div>no</div></form>", "kept"),
+        ("<aside><article><p>teaser</p></article></aside><main><p>m</p></main>", "m"),
+        ("<p data-x=it's>y", "y"),
+        ("<p title=\"a>b\">y</p>", "y"),
+        ("<script>if(a<b)x='</p>'</script ><p>t", "t"),
+    ],
+)
+def test_markup_of_every_kind(html, text):
+    assert site_text.Page(html).text == text
+
+
+def test_broken_markup_takes_no_longer():
+    assert site_text.Page("<a " + 'x="1" ' * 20_000).text.startswith("<a")
+
+
+def test_mixing_of_rows_that_share_an_id(spark):
+    """A third of the ids are null: their rows spread over the ranges, and targets are met."""
+    rng = random.Random(16)
+    rows = [
+        (None if i % 3 == 0 else i, " ".join(["w"] * rng.randint(1, 9)) + f" {i}", "en", f"s{i % 4}", 1, "x")
+        for i in range(900)
+    ]
+    frame = spark.createDataFrame(rows, DOCS)
+    found = mixing.mix(frame).collect()
+    taken, targets = collections.Counter(), {}
+    key = {(r[0], len(r[1].split())): r[3] for r in rows}
+    for r in found:
+        if r["doc_id"] is not None:
+            targets[key[r["doc_id"], r["size"]]] = (r["target"], r["source_size"])
+    for r in found:
+        taken[(r["target"], r["source_size"])] += r["taken"]
+    assert len(set(targets.values())) == 4
+    assert all(abs(taken[t] - t[0]) <= 10 for t in targets.values())
+
+
 def test_site_text(spark):
     def page(body, chrome):
         return f"<html><head><title>t</title></head><body><nav>menu</nav><div>{chrome}</div>{body}<footer>f</footer>"
