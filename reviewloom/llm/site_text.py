@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64, xxh128
+from xxhash import xxh64
 
 from reviewloom import session
 from reviewloom.llm.common import bounded_batches
@@ -65,6 +65,10 @@ _MARKUP = re.compile(
 _BY_FORM, _BY_OTHER = 1, 2
 
 
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 class _Element:
     __slots__ = ("name", "hash", "blocks", "hidden", "article", "inside", "holds")
 
@@ -185,7 +189,7 @@ class Page:
             return
         if element.inside or element.holds:
             return
-        signed = value - (1 << 64) if value >> 63 else value
+        signed = _signed(value)
         self.subtrees.add(signed)
         if signed in self.template:
             del self.blocks[element.blocks :]
@@ -200,7 +204,7 @@ def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         found = [Page(source) for source in batch]
         # none stands for the page itself
         subtrees = [[None, *sorted(page.subtrees)] for page in found]
-        contents = [xxh128(page.text).digest() for page in found]
+        contents = [_signed(xxh64(page.text).intdigest()) for page in found]
         yield pd.DataFrame({"content": contents, "subtrees": subtrees})
 
 
@@ -231,14 +235,16 @@ def main_texts(pages: DataFrame, many: int = MANY_PAGES) -> DataFrame:
     source = F.coalesce("html", F.lit(""))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1))
     rows = pages.select(
-        "page_id", "url", source.alias("html"), host.alias("host"), F.xxhash64("url", source).alias("page")
+        "page_id",
+        "url",
+        source.alias("html"),
+        F.xxhash64(host).alias("host"),
+        F.xxhash64("url", source).alias("page"),
     )
-    parsed = _udf(_parsed, "content binary, subtrees array<bigint>")(F.col("html"))
+    parsed = _udf(_parsed, "content bigint, subtrees array<bigint>")(F.col("html"))
     # stored, as it is read twice: parsing takes most of the time
-    elements = session.store(
-        rows.select("host", "page", parsed.alias("parsed")).select(
-            "host", "page", F.col("parsed.content").alias("content"), F.explode("parsed.subtrees").alias("subtree")
-        )
+    elements = session.store(rows.select("host", "page", parsed.alias("parsed"))).select(
+        "host", "page", F.col("parsed.content").alias("content"), F.explode("parsed.subtrees").alias("subtree")
     )
     counted = session.store(
         elements.groupBy("host", "subtree", "content").agg(F.count(F.lit(1)).alias("n"))
