@@ -173,23 +173,30 @@ class Automaton:
     ``moves[s + b]``, states being multiples of 256 with the accepting ones last, from
     ``accepting`` on. ``found[s >> 8]`` has bit ``i`` set where pattern ``i`` has just
     matched. ``anywhere`` lets matches begin at every byte; else they begin at the first
-    and state ``dead`` says that none can follow.
+    and state ``dead`` says that none can follow. With ``once`` a pattern that has matched
+    is followed no further, which is enough to tell whether it matches at all and keeps
+    the open ends of several patterns from multiplying the states.
     """
 
-    def __init__(self, nodes: Sequence, anywhere: bool):
+    def __init__(self, nodes: Sequence, anywhere: bool, once: bool = False):
         nfa = _Nfa()
         ends: dict[int, int] = {}
         starts = []
+        owner: list[int] = []
         for i, node in enumerate(nodes):
             start = nfa.state()
             starts.append(start)
             end = nfa.add(node, start)
+            owner += [i] * (len(nfa.empty) - len(owner))
             ends[end] = ends.get(end, 0) | 1 << i
         first = nfa.closure(starts)
         index, todo, rows, masks = {first: 0}, [first], [], []
         while todo:  # subset construction
             states = todo.pop(0)
-            masks.append(sum(ends.get(s, 0) for s in states))
+            mask = sum(ends.get(s, 0) for s in states)
+            masks.append(mask)
+            if once:
+                states = {s for s in states if not mask >> owner[s] & 1} | (first if anywhere else set())
             targets: list[set[int]] = [set() for _ in range(256)]
             for s in states:
                 for codes, nxt in nfa.moves[s]:

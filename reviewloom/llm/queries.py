@@ -51,6 +51,112 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    # every window of 100 bytes; the oldest of equal ones stays
+    "op5_suffix_repeats": r"""
+        WITH docs AS (
+            SELECT doc_id, encode(coalesce(text, '')) AS data FROM documents
+        ), windows AS (
+            SELECT doc_id, unnest(range(0, octet_length(data) - 99)) AS place, data FROM docs
+        ), cut AS (
+            SELECT doc_id, place, CAST(doc_id AS HUGEINT) * 4294967296 + place AS age,
+                   array_slice(data, place + 1, place + 100) AS part
+            FROM windows
+        ), repeated AS (
+            SELECT part, min(age) AS oldest FROM cut GROUP BY part HAVING count(*) > 1
+        ), later AS (
+            SELECT doc_id, place FROM cut JOIN repeated USING (part) WHERE age <> oldest
+        ), marked AS (
+            SELECT doc_id, place, coalesce(place > lag(place) OVER in_doc + 100, true) AS fresh
+            FROM later WINDOW in_doc AS (PARTITION BY doc_id ORDER BY place)
+        ), numbered AS (
+            SELECT doc_id, place, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY place) AS run FROM marked
+        ), runs AS (
+            SELECT doc_id, min(place) AS low, max(place) + 100 AS high FROM numbered GROUP BY doc_id, run
+        ), pieces AS (
+            SELECT doc_id, low, high,
+                   coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS kept_from
+            FROM runs
+        ), parts AS (
+            SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans, max(high) AS tail,
+                   string_agg(hex(array_slice(data, kept_from + 1, low)), '' ORDER BY low) AS head
+            FROM pieces JOIN docs USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, octet_length(data) AS n_bytes,
+               CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(head, '') || hex(array_slice(data, coalesce(tail, 0) + 1, octet_length(data))))) AS kept_sha256
+        FROM docs LEFT JOIN parts USING (doc_id)
+    """,
+    # a control string is escaped by one character; in roles backslashes and ends of lines too
+    "op10_chat_formatting": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                             (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        ), measured AS (
+            SELECT *, md5(role || chr(10) || text) AS tie,
+                   len(regexp_extract_all(role, '[<\[]\\*(\||/s>|s>|INST\]|/INST\])')) AS role_signs,
+                   len(regexp_extract_all(text, '[<\[]\\*(\||/s>|s>|INST\]|/INST\])')) AS text_signs,
+                   length(role) - length(replace(replace(role, '\', ''), chr(10), '')) AS role_more
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, tie)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, tie) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length('<|im_start|>' || role || text || '<|im_end|>') + 2
+                        + 2 * role_signs + role_more + text_signs) AS BIGINT) AS formatted_chars
+        FROM measured GROUP BY conv_id
+    """,
+    # the schedules' integrals are inverted piece by piece, as the operator does
+    "op3_mixing": r"""
+        WITH docs AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS digest
+            FROM documents
+        ), sized AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS place
+            FROM docs GROUP BY source
+        ), weighed AS (
+            SELECT *, [5, 2, 1][place + 1] AS weight, 3 * source_size AS most,
+                   CAST(sum(source_size) OVER () AS BIGINT) AS total
+            FROM sized
+        ), levels AS (
+            SELECT *, sum(most) OVER (ORDER BY most / weight, place, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS used,
+                   sum(weight) OVER (ORDER BY most / weight, place, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS unfilled
+            FROM weighed
+        ), cut AS (
+            SELECT *, coalesce(used, 0) + most / weight * unfilled < total AS filled FROM levels
+        ), targets AS (
+            SELECT source, source_size, place,
+                   CASE WHEN filled THEN CAST(most AS DOUBLE)
+                        ELSE weight * CAST(total - coalesce(sum(most) FILTER (filled) OVER (), 0) AS DOUBLE)
+                             / sum(weight) FILTER (NOT filled) OVER () END AS target
+            FROM cut
+        ), placed AS (
+            SELECT docs.doc_id, size, source_size, target, place,
+                   sum(size) OVER (PARTITION BY docs.source ORDER BY digest, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before,
+                   least(coalesce(floor(target / nullif(source_size, 0)), 0), 3) AS whole
+            FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source
+        ), taken AS (
+            SELECT *, CAST(least(whole + CAST(before + size / 2 < target - whole * source_size AS INT), 3) AS BIGINT) AS copies,
+                   (before + size / 2) / nullif(target, 0) * 2 AS spent,
+                   [[1.5, 1.0, 0.5], [1.0, 1.0, 1.0], [0.5, 1.0, 1.5]][place + 1]::DOUBLE[] AS s
+            FROM placed
+        ), pieces AS (
+            SELECT *, spent > (s[1] + s[2]) / 2 AS later FROM taken
+        ), solved AS (
+            SELECT *, CASE WHEN later THEN spent - (s[1] + s[2]) / 2 ELSE spent END AS rest,
+                   CASE WHEN later THEN s[2] ELSE s[1] END AS a, CASE WHEN later THEN s[3] ELSE s[2] END AS b
+            FROM pieces
+        )
+        SELECT doc_id, size, source_size, target, copies * size AS taken,
+               CASE WHEN copies > 0 THEN coalesce(CASE WHEN spent > 2 THEN 1 ELSE least(
+                   (CAST(later AS INT) + coalesce(2 * rest / nullif(a + sqrt(greatest(a * a + 2 * (b - a) * rest, 0)), 0), 0)) / 2, 1) END, 0)
+               END AS position
+        FROM solved
+    """,
     "op13_exact_dedup": r"""
         WITH normal AS (
             SELECT doc_id,

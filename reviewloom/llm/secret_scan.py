@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,12 @@ BASE = (
 MORE = (
     Rule("private_key", "", r"-----BEGIN\x20([A-Z]+\x20)?PRIVATE\x20KEY-----"),
     Rule("github", r"gh[opsur]_", r"[A-Za-z0-9]+", 36),
+    Rule("gitlab", r"glpat-", r"[A-Za-z0-9_\-]+", 20),
+    Rule("google", r"AIza", r"[A-Za-z0-9_\-]+", 35),
+    Rule("npm", r"npm_", r"[A-Za-z0-9]+", 36),
+    Rule("slack", r"xox[abeprs]-", r"[A-Za-z0-9\-]+", 20),
+    Rule("stripe", r"[rs]k_(live|test)_", r"[A-Za-z0-9]+", 24),
+    Rule("json_web_token", r"eyJ[A-Za-z0-9_\-]+\.", r"eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+"),
 )
 RULES = BASE + MORE
 
@@ -63,7 +71,7 @@ class Scanner:
     def __init__(self, rules: Sequence[Rule] = RULES):
         whole = [parse(rule.head + rule.body, rule.any_case) for rule in rules]
         self.rules = list(rules)
-        self.forward = Automaton(whole, anywhere=True)
+        self.forward = Automaton(whole, anywhere=True, once=True)
         self.backward = Automaton([reverse(node) for node in whole], anywhere=True)
         self.anchored = [Automaton([node], anywhere=False) for node in whole]
         self.heads = [
@@ -93,20 +101,26 @@ class Scanner:
                 if end - body >= rule.least:
                     found.append((begin, i, end))
         found.sort()
-        if len(data) == len(text):
+        if not found or len(data) == len(text):
             return [(self.rules[i].kind, begin, end) for begin, i, end in found]
-        return [
-            (self.rules[i].kind, len(data[:begin].decode()), len(data[:end].decode()))
-            for begin, i, end in found
-        ]
+        # code points that begin before each byte, counted once for all spans
+        begins_one = np.frombuffer(data, np.uint8) & 0xC0 != 0x80
+        points = np.concatenate([[0], np.cumsum(begins_one)])
+        return [(self.rules[i].kind, int(points[begin]), int(points[end])) for begin, i, end in found]
 
 
 def joined(spans: Sequence[Span]) -> str:
     return ",".join(f"{kind}:{begin}:{end}" for kind, begin, end in spans)
 
 
+@functools.cache
+def _scanner() -> Scanner:
+    """One per Python worker, which runs many tasks."""
+    return Scanner()
+
+
 def _measure() -> Callable[[str], tuple]:
-    scanner = Scanner()
+    scanner = _scanner()
     base = [rule.kind for rule in BASE]
 
     def measure(text: str) -> tuple:

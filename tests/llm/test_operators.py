@@ -70,6 +70,23 @@ def test_secrets(spark, odd):
     for _ in range(3000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 20)))
         assert [s for s in scanner.spans(text) if s[0] in ("assign", "access", "hex")] == brute(text)
+    more = {
+        "private_key": "-----BEGIN RSA PRIVATE KEY-----",
+        "github": "ghp_" + "aZ09" * 9,
+        "gitlab": "glpat-" + "a-Z_9" * 4,
+        "google": "AIza" + "aZ-_9" * 7,
+        "npm": "npm_" + "xY01" * 9,
+        "slack": "xoxb-" + "12345-abcde" * 2,
+        "stripe": "sk_live_" + "wX01" * 6,
+        "json_web_token": "eyJhbGci.eyJzdWIi.sig-1",
+    }
+    assert list(more) == [rule.kind for rule in secret_scan.MORE]
+    text, places = "é", []
+    for kind, secret in more.items():
+        places.append((kind, len(text) + 1, len(text) + 1 + len(secret)))
+        text += " " + secret + " é"
+        assert [s for s in scanner.spans(f"é {secret[:-9]} é") if s[0] == kind] == [] or kind == "json_web_token"
+    assert [s for s in scanner.spans(text) if s[0] in more] == places
     frame, rows = odd
     got = collections.Counter((r["doc_id"], r["base_sha256"]) for r in secret_scan.secrets(frame).collect())
     assert got == collections.Counter((r[0], sha(secret_scan.joined(brute(r[1] or "")))) for r in rows)
