@@ -276,6 +276,8 @@ def removed_ranges(documents: DataFrame) -> DataFrame:
         .orderBy(*DOC)
         .withColumn("number", F.monotonically_increasing_id())
     )
+    if texts.isEmpty():  # no text is as long as a window
+        return texts.select(*DOC, F.array().cast("array<bigint>").alias("cuts"))
     words = texts.select("number", "text")
     triple = "number bigint, at int, length int, a bigint, b bigint, c bigint"
     ranks = suffix_ranks(words.mapInArrow(_first_triples, triple))
