@@ -51,6 +51,138 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    # U+FDD0 to U+FDD2 mark where a match, its body and the rest begin
+    "op1_secret_scan": r"""
+        WITH kinds(place, kind, head, body, least) AS (VALUES
+            (0, 'assign', '(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?', '[A-Za-z0-9+/_.=-]+', 12),
+            (1, 'access', 'AKIA', '[A-Z0-9]+', 14),
+            (2, 'hex', '', '[0-9a-f]+', 16),
+            (3, 'private_key', '', '-----BEGIN\x20(?:[A-Z]+\x20)?PRIVATE\x20KEY-----', 1),
+            (4, 'github', 'gh[opsur]_', '[A-Za-z0-9]+', 36),
+            (5, 'gitlab', 'glpat-', '[A-Za-z0-9_-]+', 20),
+            (6, 'google', 'AIza', '[A-Za-z0-9_-]+', 35),
+            (7, 'npm', 'npm_', '[A-Za-z0-9]+', 36),
+            (8, 'slack', 'xox[abeprs]-', '[A-Za-z0-9-]+', 20),
+            (9, 'stripe', '[rs]k_(?:live|test)_', '[A-Za-z0-9]+', 24),
+            (10, 'json_web_token', 'eyJ[A-Za-z0-9_-]+\.', 'eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+', 1)
+        ), docs AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+        ), marked AS (
+            SELECT row, place, kind, least, string_split(regexp_replace(text, '(' || head || ')(' || body || ')',
+                   chr(64976) || '\1' || chr(64977) || '\2' || chr(64978), 'g'), chr(64976)) AS parts
+            FROM docs, kinds
+        ), cut AS (
+            SELECT row, place, kind, least, unnest(parts) AS part, unnest(range(len(parts))) AS number FROM marked
+        ), measured AS (
+            SELECT *, sum(length(part) - CASE WHEN number > 0 THEN 2 ELSE 0 END) OVER (
+                       PARTITION BY row, place ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low,
+                   strpos(part, chr(64977)) AS middle, strpos(part, chr(64978)) AS close
+            FROM cut
+        ), spans AS (
+            SELECT row, place, low, kind || ':' || low || ':' || low + close - 2 AS span
+            FROM measured WHERE number > 0 AND close - middle - 1 >= least
+        ), joined AS (
+            SELECT row, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
+                   count(*) FILTER (place = 2) AS n_hex,
+                   string_agg(span, ',' ORDER BY low, place) FILTER (place < 3) AS base,
+                   string_agg(span, ',' ORDER BY low, place) AS spans
+            FROM spans GROUP BY row
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN joined USING (row)
+    """,
+    "op6_quality_rules": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), placed AS (
+            SELECT row, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs
+        ), ahead AS (
+            SELECT row, place, length(word) AS chars,
+                   list(word) OVER (PARTITION BY row ORDER BY place ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS next
+            FROM placed
+        ), grams AS (
+            SELECT row, n, place, chars, CASE WHEN len(next) >= n THEN array_to_string(next[:n], ' ') END AS gram
+            FROM ahead, (VALUES (3), (5), (6), (7), (8), (9), (10)) AS lengths(n)
+        ), compared AS (
+            SELECT row, n, place, chars,
+                   CASE WHEN gram IS NULL THEN false WHEN n = 3 THEN count(*) OVER same > 1
+                        ELSE row_number() OVER (same ORDER BY place) > 1 END AS repeated
+            FROM grams WINDOW same AS (PARTITION BY row, n, gram)
+        ), covered AS (
+            SELECT row, n, chars, coalesce(max(place) FILTER (repeated) OVER (
+                       PARTITION BY row, n ORDER BY place ROWS UNBOUNDED PRECEDING) > place - n, false) AS inside
+            FROM compared
+        ), shares AS (
+            SELECT row, n, count(*) FILTER (inside) AS n_words, coalesce(sum(chars) FILTER (inside), 0) / sum(chars) AS share
+            FROM covered GROUP BY row, n
+        ), grouped AS (
+            SELECT row, max(n_words) FILTER (n = 3) AS n_repeat_words, max(share) FILTER (n = 5) AS five,
+                   bool_and(share <= [0.15, 0.14, 0.13, 0.12, 0.11, 0.10][n - 4]) FILTER (n > 3) AS varied
+            FROM shares GROUP BY row
+        ), lines AS (
+            SELECT row, unnest(string_split(text, chr(10))) AS line FROM docs
+        ), alike AS (
+            SELECT row, length(line) AS chars, count(*) AS copies FROM lines
+            WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row, line
+        ), in_lines AS (
+            SELECT row, sum(copies - 1) AS n_dup_lines, sum(chars * (copies - 1)) / sum(chars * copies) AS line_share
+            FROM alike GROUP BY row
+        ), measured AS (
+            SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, length(array_to_string(words, '')) AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   coalesce(line_share, 0) AS line_share, coalesce(five, 0) AS five_gram_share, coalesce(varied, true) AS varied
+            FROM docs LEFT JOIN grouped USING (row) LEFT JOIN in_lines USING (row)
+        ), judged AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND line_share <= 0.20 AND varied AS kept, line_share, five_gram_share
+        FROM judged
+    """,
+    # the checksum bit by bit; words of one edit agree in what is left without a code point
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE runs AS (
+            SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+            FROM documents
+        ), counted AS (
+            SELECT run, encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS data, count(*) AS n
+            FROM runs GROUP BY doc_id, run
+        ), checked AS (
+            SELECT run, n, xor(list_reduce(
+                list_transform(range(8 * octet_length(data)), lambda k: CAST(get_bit(CAST(data AS BIT), CAST(k + 7 - 2 * (k % 8) AS INT)) AS BIGINT)),
+                lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295), 4294967295) AS h
+            FROM counted
+        ), spelt AS (
+            SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+            FROM checked
+        ), words AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+        ), cut AS (
+            SELECT word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS place FROM words)
+        ), pairs AS (
+            SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b USING (rest, place) WHERE a.word <> b.word
+            UNION SELECT cut.word, cut.n, words.word, words.n FROM cut JOIN words ON rest = words.word
+            UNION SELECT words.word, words.n, cut.word, cut.n FROM cut JOIN words ON rest = words.word
+        ), largest AS (
+            SELECT word, count(*) AS n_near, max(near_n) AS near_n, arg_min(near, (-near_n, encode(near))) AS near
+            FROM pairs GROUP BY word
+        ), formed AS (
+            SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+            FROM words LEFT JOIN largest USING (word)
+        ), chains AS (
+            SELECT word, word AS root, form AS next FROM formed
+            UNION ALL
+            SELECT chains.word, formed.word, formed.form FROM chains JOIN formed ON chains.next = formed.word
+        )
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN chains USING (word) WHERE next IS NULL
+    """,
     # every window of 100 bytes; the oldest of equal ones stays
     "op5_suffix_repeats": r"""
         WITH docs AS (
