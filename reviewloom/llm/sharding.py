@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from reviewloom import session
@@ -13,15 +13,18 @@ from reviewloom.operators import joins, sizing
 
 SHARDS = 16
 
-# A row's order in a dimension is a number of 63 bits: 20 of the dimension, 20 of the
-# text's checksum, so that copies lie together, 23 of a hash that tells copies apart.
-_DIMENSION_BITS, _TEXT_BITS, _ID_BITS = 20, 20, 23
+# A row's order in a dimension is a number of 63 bits: 20 of the dimension, 19 of the
+# text's checksum, so that copies lie together, 24 of a hash that tells copies apart.
+_DIMENSION_BITS, _TEXT_BITS, _ID_BITS = 20, 19, 24
 _BITS = _DIMENSION_BITS + _TEXT_BITS + _ID_BITS
 # A median is found digit by digit; a digit has this many bits, so each step gathers at
-# most 2 ** 13 sums per node of the tree.
+# most 2 ** 13 sums per node of the tree. Three digits tell texts apart, the others copies.
 _DIGIT = 13
 # The search ends when the digit that holds the median is lighter than this part of a node.
 FINE = 1 / 4096
+# Equal texts up to this part of a shard's bytes are not cut; the cut goes to the nearer side
+# of them, so no shard is off by more than this part.
+WHOLE = 1 / 32
 # Rows of a shard are numbered in this many ranges of a hash, in parallel.
 RANGES_BITS = 12
 
@@ -70,7 +73,33 @@ def _with_rank(rows: DataFrame, ranks: DataFrame, column: str, name: str) -> Dat
     return found.withColumn(name, F.coalesce("rank", F.lit(ranks.count())).cast("double")).drop("value", "rank")
 
 
-def measured(documents: DataFrame) -> DataFrame:
+def _together(rows: DataFrame, shards: int) -> DataFrame:
+    """``rows`` in which equal texts have one source and one language for the tree, the first
+    ones of the group, so that they are neighbours in every dimension.
+
+    Only groups that can stay whole are joined back, so no key of the join is hot; heavier
+    ones are cut by their rows' own sources and languages. Texts are compared by a 64-bit
+    hash, as a collision does no more than put two texts side by side.
+    """
+    places, seen = ("by_source", "by_lang"), Observation()
+    groups = rows.groupBy("text_hash").agg(
+        *(F.min(p).alias(f"first_{p}") for p in places),
+        F.count(F.lit(1)).alias("copies"),
+        F.sum("size").alias("weight"),
+    )
+    groups = groups.observe(seen, F.sum("weight").alias("total")).filter("copies > 1")
+    groups = session.store(groups.drop("copies"))
+    most = WHOLE * (seen.get["total"] or 0) / shards
+    groups = groups.filter(F.col("weight") <= most).drop("weight")
+    if sizing.is_small(groups):
+        found = rows.join(F.broadcast(groups), "text_hash", "left")
+    else:
+        found = joins.salted_join(rows, groups, "text_hash", "left")
+    found = found.withColumns({p: F.coalesce(f"first_{p}", p) for p in places})
+    return found.drop("text_hash", *(f"first_{p}" for p in places))
+
+
+def measured(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc`` (the input row as a struct) with what the tree needs to know of it.
 
     ``hash`` differs between rows that repeat an id and a text too, by their place in the
@@ -83,18 +112,20 @@ def measured(documents: DataFrame) -> DataFrame:
         F.struct("*").alias("doc"),
         size,
         F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64(text).alias("text_hash"),
         F.monotonically_increasing_id().alias("row"),
     )
     rows = rows.select(
         "doc",
         "size",
         "text_crc32",
+        "text_hash",
         F.xxhash64("doc.doc_id", "text_crc32", "row").alias("hash"),
         F.log2("size").alias("by_size"),
     )
     for column in ("source", "lang"):
         rows = _with_rank(rows, _ranked(documents, column), f"doc.{column}", f"by_{column}")
-    return rows
+    return _together(rows, shards)
 
 
 DIMENSIONS = ("by_source", "by_lang", "by_size")
@@ -139,15 +170,16 @@ class Tree(NamedTuple):
         return rows.withColumns({f"order_{d}": _order(d, *self.orders[d]) for d in DIMENSIONS})
 
 
-def _medians(rows: DataFrame, wanted: dict[int, tuple[str, float, float]]) -> dict[int, int]:
+def _medians(rows: DataFrame, wanted: dict[int, tuple[str, float, float, float]]) -> dict[int, int]:
     """Per node the order value that splits its weight at the wanted weight.
 
     ``rows`` has ``node``, ``size`` and one order column per dimension; ``wanted`` gives
-    the dimension, the weight to put left and the node's weight. Each step sums the next
-    digit of the rows that share the digits found so far; one row per node returns.
+    the dimension, the weight to put left, the node's weight and up to which weight equal
+    texts stay whole. Each step sums the next digit of the rows that share the digits found
+    so far; one row per node returns.
     """
     order = F.coalesce(
-        *(F.when(F.col("node") == n, F.col(d)) for n, (d, _, _) in wanted.items())
+        *(F.when(F.col("node") == n, F.col(d)) for n, (d, *_) in wanted.items())
     )
     keyed = rows.withColumn("order", order).filter(F.col("order").isNotNull())
     prefix, before, cuts, shift = dict.fromkeys(wanted, 0), dict.fromkeys(wanted, 0), {}, _BITS
@@ -173,9 +205,10 @@ def _medians(rows: DataFrame, wanted: dict[int, tuple[str, float, float]]) -> di
             .collect()
         )
         for row in crossing:
-            node, (_, goal_weight, whole) = row["node"], wanted[row["node"]]
+            node, (_, goal_weight, whole, text) = row["node"], wanted[row["node"]]
             below = before[node] + row["upto"] - row["weight"]
-            if row["n"] == 1 or row["weight"] <= FINE * whole or not shift:
+            most = max(text, FINE * whole) if shift == _ID_BITS else FINE * whole
+            if row["n"] == 1 or row["weight"] <= most or not shift:
                 # the cut goes to the nearer edge of the digit
                 above = below + row["weight"] - goal_weight > goal_weight - below
                 cuts[node] = (row["digits"] + (not above)) << shift
@@ -185,9 +218,21 @@ def _medians(rows: DataFrame, wanted: dict[int, tuple[str, float, float]]) -> di
     return cuts
 
 
+def _moments(dimension: str, low: float, high: float) -> list[Column]:
+    """Mean and mean square by bytes, with the range from ``low`` to ``high`` as unit."""
+    at = (F.col(dimension) - low) / ((high - low) or 1.0)
+    return [
+        (F.sum(F.col("size") * power) / F.sum("size")).alias(f"{name}_{dimension}")
+        for name, power in (("mean", at), ("square", at * at))
+    ]
+
+
 def grow(rows: DataFrame, shards: int = SHARDS) -> Tree:
     """Split at weighted medians along the widest dimension until each leaf is one shard.
 
+    A node's width is its variance by bytes, with the whole table's range as unit, so that one
+    far-off row makes no dimension wide.
+
     A leaf's target is the total weight over ``shards``; a node of k leaves is split in
     the proportion of their halves. What returns to the driver is a row per node and step,
     so it is bounded by the number of shards.
@@ -211,7 +256,7 @@ def grow(rows: DataFrame, shards: int = SHARDS) -> Tree:
             for row in placed.groupBy("node")
             .agg(
                 F.sum("size").alias("weight"),
-                *((F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS),
+                *(column for d in DIMENSIONS for column in _moments(d, *orders[d])),
             )
             .collect()
         }
@@ -223,9 +268,10 @@ def grow(rows: DataFrame, shards: int = SHARDS) -> Tree:
                 weight = width["weight"]
                 dimension = max(
                     DIMENSIONS,
-                    key=lambda d: width[d] / ((orders[d][1] - orders[d][0]) or 1.0),
+                    key=lambda d: round(width[f"square_{d}"] - width[f"mean_{d}"] ** 2, 9),
                 )
-            wanted[node] = (f"order_{dimension}", weight * (len(own) // 2) / len(own), weight)
+            leaf = weight / len(own)
+            wanted[node] = (f"order_{dimension}", leaf * (len(own) // 2), weight, WHOLE * leaf)
         cuts = _medians(placed, wanted)
         following = {}
         for node, own in open_nodes.items():
@@ -241,14 +287,14 @@ def grow(rows: DataFrame, shards: int = SHARDS) -> Tree:
 def sharded(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc`` (the input row as a struct), ``size``, ``text_crc32``, ``shard``, ``slot``.
 
-    Shards are nearly equal in bytes. Equal texts of one source and language lie together but
-    where a cut must pass between them, as they alone weigh more than the cut's precision;
-    those of several sources or languages may lie in several shards. Slots count a shard's
+    Shards are nearly equal in bytes. Equal texts lie in one shard, whatever their sources and
+    languages, but where they weigh more than ``WHOLE`` of a shard, so that a cut may pass
+    between them. Slots count a shard's
     rows from 0. One row per input row: repeated rows and null ids are rows like others, a
     null text has no bytes. An empty table gives an empty result. ``documents`` should be a
     stored table, see ``measured``.
     """
-    rows = measured(documents)
+    rows = measured(documents, shards)
     tree = grow(session.store(rows.drop("doc")), shards)
     placed = tree.with_orders(rows).select("doc", "size", "text_crc32", "hash", tree.shard().alias("shard"))
     placed = placed.withColumn("range", F.shiftrightunsigned("hash", 64 - RANGES_BITS))

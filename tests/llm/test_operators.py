@@ -192,6 +192,29 @@ def test_sources_of_one_prefix_are_split_by_source(spark, tmp_path):
     assert max(map(len, per.values())) <= 5
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_equal_texts_lie_in_one_shard(spark, tmp_path, monkeypatch, small):
+    """Copies under several sources and languages; one group weighs more than a shard, and is
+    cut, as the shards could not be near each other in bytes otherwise."""
+    rng = random.Random(13)
+    texts = ["y" * rng.randint(20, 60) + str(k) for k in range(400)]
+    texts = [t for t in texts for _ in range(rng.randint(2, 4))] + ["z" * rng.randint(20, 60) + str(k) for k in range(2500)]
+    texts += ["heavy group " * 4] * 1200 + ["", None, ""]
+    rng.shuffle(texts)
+    rows = [(i, t, rng.choice(["en", "de", None]), rng.choice(["a", "b", "c", None]), 1, "s") for i, t in enumerate(texts)]
+    if not small:
+        monkeypatch.setattr(sharding.sizing, "is_small", lambda *_: False)
+    found = sharding.shards_of(stored_docs(spark, tmp_path / "docs", rows), 16).collect()
+    weights, shards = collections.Counter(), collections.defaultdict(set)
+    for r in found:
+        weights[r["shard"]] += r["size"]
+        shards[texts[r["doc_id"]] or ""].add(r["shard"])
+    mean = sum(weights.values()) / 16
+    assert sorted(r["doc_id"] for r in found) == list(range(len(texts)))
+    assert all(abs(w - mean) <= sharding.WHOLE * mean + 60 for w in weights.values()) and len(weights) == 16
+    assert [text for text, own in shards.items() if len(own) > 1] == ["heavy group " * 4]
+
+
 def test_ranks_are_dense_and_in_order(spark):
     values = [f"v{k:03d}" for k in range(300)] + [None]
     frame = spark.createDataFrame([(v,) for v in values * 2], "source string").repartition(6)
