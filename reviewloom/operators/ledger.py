@@ -7,16 +7,19 @@ with days times population.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from reviewloom import session
 from reviewloom.functions import digests
-from reviewloom.operators import joins, merge, sizing
-from reviewloom.schemas import KEY, PARTITION, PAYLOAD
+from reviewloom.operators import joins, merge, quality, sizing
+from reviewloom.schemas import KEY, PAYLOAD, PARTITION, REVIEW_FIELDS, SILVER
+
+# Name of the digest column within this module.
+DIGEST = "_version_digest"
+
+NESTED = SILVER["historical_data"].dataType
 
 # As stored; the load date is the partition column.
 LEDGER = StructType([StructField(name, StringType(), True) for name in (KEY, *PAYLOAD)])
@@ -39,19 +42,35 @@ def known_versions(
 
 
 def new_versions(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Versions among ``rows`` that ``known``, all entries of their ids, has not got."""
-    found = rows.filter(F.col(KEY).isNotNull()).select(KEY, *PAYLOAD).distinct().alias("n")
-    same = [F.col(f"n.{name}").eqNullSafe(F.col(f"k.{name}")) for name in PAYLOAD]
-    condition = reduce(Column.__and__, same, F.col(f"n.{KEY}") == F.col(f"k.{KEY}"))
-    return found.join(known.alias("k"), condition, "left_anti")
+    """Versions among ``rows`` that ``known``, all entries of their ids, has not got.
+
+    Versions are matched by digests of id and payload, sent to the rows where they are few.
+    Only versions that occur in several rows, as their tallied digests tell, are shuffled to
+    be made distinct; other rows stay in place.
+    """
+    columns = [KEY, *PAYLOAD]
+    digest = digests.text_digest(columns).alias(DIGEST)
+    found = rows.filter(F.col(KEY).isNotNull()).select(*columns, digest)
+    seen = session.store(known.select(digest).distinct())
+    fresh = joins.rows_with_keys(found, seen, DIGEST, "left_anti", stored=True)
+    repeated = session.store(quality.duplicate_keys(fresh, DIGEST).select(DIGEST))
+    if repeated.isEmpty():
+        return fresh.select(*columns)
+    once = joins.rows_with_keys(fresh, repeated, DIGEST, "left_anti", stored=True)
+    copies = joins.rows_with_keys(fresh, repeated, DIGEST, stored=True)
+    return once.select(*columns).unionByName(copies.select(*columns).distinct())
+
+
+def _as_versions(known: DataFrame, prefix: str = "") -> DataFrame:
+    """Entries with the load date they were first seen on as a number."""
+    payload = (F.col(n).cast("string").alias(f"{prefix}{n}") for n in PAYLOAD)
+    return known.select(KEY, merge.load_day(known).alias("first_seen"), *payload)
 
 
 def replaced_versions(new: DataFrame, known: DataFrame, small: bool = False) -> DataFrame:
     """One row per entry of ``known`` that ``new`` (one row per id) replaces, as
     ``merge.change_rows`` finds them in whole snapshots."""
-    versions = known.select(
-        KEY, merge.load_day(known).alias("first_seen"), *(F.col(n).alias(f"old_{n}") for n in PAYLOAD)
-    )
+    versions = _as_versions(known, "old_")
     batch = merge.tracked_values(new)
     if small:
         return merge.replaced(versions.join(F.broadcast(batch), KEY))
@@ -63,15 +82,29 @@ def merge_with_ledger(
     newest: DataFrame,
     known: DataFrame,
     broadcast_limit: int = sizing.BROADCAST_LIMIT,
+    mark: str | None = None,
 ) -> DataFrame:
     """What ``merge.merge_snapshots`` makes of ``new`` and the whole history.
 
     ``newest`` is the last snapshot, which has every earlier id; ``known`` are the ledger's
-    entries of the new ids, a stored table.
+    entries of the new ids, a stored table. ``mark`` names a column that says which ids are
+    among the new ones.
+
+    Without entries nothing is replaced, and the new rows are not joined with any. Where the
+    new values are too many to be sent to the entries, these are gathered by id and compared
+    beside the new row, which is so shuffled once; hot ids are compared before instead.
     """
+    if known.isEmpty():
+        nothing = F.array().cast(NESTED)
+        merged = merge.current_snapshot(new, newest, mark=mark)
+        return merged.select(*REVIEW_FIELDS, nothing.alias("historical_data"), *([mark] if mark else []))
     small = sizing.is_small(merge.tracked_values(new), broadcast_limit)
-    nested = merge.nest_changes(replaced_versions(new, known, small))
-    return merge.without_gaps(merge.current_snapshot(new, newest, nested))
+    if small or not joins.hot_keys(known, KEY).isEmpty():
+        nested, entries = merge.nest_changes(replaced_versions(new, known, small)), None
+    else:
+        nested = _as_versions(known).groupBy(KEY).agg(merge.in_order().alias("versions"))
+        entries = merge.replaced_entries(F.col("versions"))
+    return merge.without_gaps(merge.current_snapshot(new, newest, nested, entries, mark))
 
 
 def changed_ids(before: DataFrame, after: DataFrame) -> DataFrame:

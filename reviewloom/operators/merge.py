@@ -14,9 +14,10 @@ from reviewloom.schemas import HISTORY_ENTRY, KEY, PARTITION, PAYLOAD, REVIEW_FI
 _CARRIED = tuple(name for name in REVIEW_FIELDS if name != KEY)
 
 
-def differs(name: str) -> Column:
+def differs(name: str, old: Column | None = None) -> Column:
     """New and old value both present and different."""
-    return F.coalesce(F.col(f"new_{name}") != F.col(f"old_{name}"), F.lit(False))
+    old = F.col(f"old_{name}") if old is None else old
+    return F.coalesce(F.col(f"new_{name}") != old, F.lit(False))
 
 
 def change_flag() -> Column:
@@ -128,25 +129,52 @@ def nest_changes(changes: DataFrame) -> DataFrame:
 
     The array has at most one entry per load date, as a stored day has one row per id.
     """
-    ordered = F.sort_array(F.collect_list(F.struct("first_seen", *PAYLOAD)))
-    entries = F.transform(ordered, lambda e: F.struct(*(e[name].alias(name) for name in PAYLOAD)))
+    entries = _payloads(in_order())
     return changes.groupBy(KEY).agg(entries.alias("historical_data"))
 
 
+def in_order() -> Column:
+    """Aggregate: the versions of a group as one array, in order of first load date."""
+    return F.sort_array(F.collect_list(F.struct("first_seen", *PAYLOAD)))
+
+
+def _payloads(versions: Column) -> Column:
+    return F.transform(versions, lambda e: F.struct(*(e[name].alias(name) for name in PAYLOAD)))
+
+
+def replaced_entries(versions: Column) -> Column:
+    """Of an id's ``versions``, an array as ``in_order`` makes it, those that the new values
+    (``new_<name>``) beside it replace, as a nested history."""
+    return _payloads(
+        F.filter(versions, lambda e: reduce(Column.__or__, [differs(n, e[n]) for n in TRACKED]))
+    )
+
+
 def current_snapshot(
-    new: DataFrame, latest: DataFrame, nested: DataFrame | None = None
+    new: DataFrame,
+    latest: DataFrame,
+    nested: DataFrame | None = None,
+    entries: Column | None = None,
+    mark: str | None = None,
 ) -> DataFrame:
     """One row per id of either side: new values, old ones where the new are null.
 
     Every input has one row per id. ``nested`` is attached to the new rows, the
     only ones that can have replaced something, before the outer join: the
-    frames are then all partitioned by id and are shuffled once.
+    frames are then all partitioned by id and are shuffled once. ``entries`` is made the
+    nested history where ``nested`` has no such column yet. With ``mark`` a column of that
+    name says whether the id is among the new ones.
     """
     batch = joins.prefixed(new.select(*REVIEW_FIELDS), "new", KEY)
     columns = [F.coalesce(f"new_{name}", f"old_{name}").alias(name) for name in _CARRIED]
+    if mark is not None:
+        batch = batch.withColumn(mark, F.lit(True))
     if nested is not None:
         batch = batch.join(nested, KEY, "left")
-        columns.append(F.col("historical_data"))
+        entries = F.col("historical_data") if entries is None else entries
+        columns.append(entries.alias("historical_data"))
+    if mark is not None:
+        columns.append(F.coalesce(mark, F.lit(False)).alias(mark))
     old = joins.prefixed(latest.select(*REVIEW_FIELDS), "old", KEY)
     return batch.join(old, KEY, "full_outer").select(KEY, *columns)
 

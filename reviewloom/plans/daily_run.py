@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from reviewloom import schemas, session
 from reviewloom.operators import joins, quality, sizing
 from reviewloom.operators import ledger as versions
-from reviewloom.operators.standardize import conform, standardize_reviews
+from reviewloom.operators.standardize import conform, conformed, standardize_reviews
 from reviewloom.plans import documents, lake, replay
 from reviewloom.plans.config import RunConfig
 from reviewloom.plans.stage_metrics import StageMetrics
@@ -24,6 +24,9 @@ log = logging.getLogger(__name__)
 # What a stored byte may take in a shuffle, where rows are not compressed by column.
 SHUFFLED = 4
 
+# Name of the column that tells the batch's ids among the merged rows.
+IN_BATCH = "_in_batch"
+
 
 class Curated(NamedTuple):
     """One load date: complete rows, rejected and incomplete ones, versions not seen before
@@ -82,22 +85,27 @@ def curate(
     tally = session.store(batch.groupBy(schemas.KEY).agg(F.count(F.lit(1)).alias("n")))
     repeated = tally.filter(F.col(schemas.KEY).isNotNull() & (F.col("n") > 1)).select(schemas.KEY)
     standard = standardize_reviews(quality.unique_rows(batch, repeated=repeated))
-    new = session.store(standard.select(*schemas.REVIEW_FIELDS))
+    new = session.store(standard.select(*schemas.REVIEW_FIELDS), compression=session.COMPACT)
     session.size_shuffles(spark, SHUFFLED * (sizing.file_bytes(new) + stored_bytes))
     ids = new.select(schemas.KEY)
-    entries = session.store(versions.known_versions(ledger, ids, config.broadcast_limit))
-    merged = versions.merge_with_ledger(new, newest, entries, config.broadcast_limit)
+    entries = session.store(
+        versions.known_versions(ledger, ids, config.broadcast_limit), compression=session.COMPACT
+    )
+    merged = versions.merge_with_ledger(new, newest, entries, config.broadcast_limit, IN_BATCH)
     current, counted = session.store_counted(
-        conform(merged, schemas.SILVER), *quality.unique_counters()
+        merged.select(*conformed(merged, schemas.SILVER), IN_BATCH),
+        *quality.unique_counters(),
+        compression=session.COMPACT,
     )
-    valid = current.filter(quality.is_complete())
-    incomplete = current.filter(~quality.is_complete()).withColumn(
+    complete = current.filter(quality.is_complete())
+    valid = complete.drop(IN_BATCH)
+    incomplete = current.filter(~quality.is_complete()).drop(IN_BATCH).withColumn(
         "reasons", quality.null_reasons()
     )
     rejected = quality.reject_keys(batch, finish=standardize_reviews, repeated=repeated).withColumn(
         "historical_data", F.array().cast(schemas.SILVER["historical_data"].dataType)
     )
-    from_batch = joins.rows_with_keys(valid.select(schemas.KEY, *schemas.PAYLOAD), ids, schemas.KEY, stored=True)
+    from_batch = complete.filter(IN_BATCH).select(schemas.KEY, *schemas.PAYLOAD)
     return Curated(
         valid,
         conform(rejected, schemas.QUARANTINE),

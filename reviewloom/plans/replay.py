@@ -9,7 +9,7 @@ from typing import Any, NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom import schemas, session
+from reviewloom import schemas
 from reviewloom.operators import joins, quality
 from reviewloom.operators import ledger as versions
 from reviewloom.plans import lake
@@ -72,12 +72,9 @@ def replay(
         others = joins.rows_with_keys(
             quarantined.filter(~by_key), changed.ids, schemas.KEY, "left_anti", stored=True
         )
-        # written before the tables that they are read from are replaced
-        valid = session.store(kept(config.silver_path, schemas.SILVER).unionByName(curated.valid))
-        invalid = session.store(
-            quarantined.filter(by_key).unionByName(others).unionByName(curated.incomplete)
-        )
-        ledger = session.store(
-            kept(config.ledger_path, versions.LEDGER).unionByName(curated.versions)
-        )
+        # each is read from the partition that it replaces, which Spark does once the new
+        # files are all written beside it
+        valid = kept(config.silver_path, schemas.SILVER).unionByName(curated.valid)
+        invalid = quarantined.filter(by_key).unionByName(others).unionByName(curated.incomplete)
+        ledger = kept(config.ledger_path, versions.LEDGER).unionByName(curated.versions)
         lake.publish(spark, config, day, valid, invalid, ledger)

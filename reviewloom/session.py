@@ -99,7 +99,13 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
-def store(frame: DataFrame, folder: str | None = None) -> DataFrame:
+# Codec of scratch tables that hold whole texts: two thirds of the bytes of the default one.
+COMPACT = "zstd"
+
+
+def store(
+    frame: DataFrame, folder: str | None = None, compression: str | None = None
+) -> DataFrame:
     """Write ``frame`` to the scratch folder once and go on from the written table.
 
     Later steps read the files, so neither several uses nor a lost executor
@@ -107,13 +113,15 @@ def store(frame: DataFrame, folder: str | None = None) -> DataFrame:
     """
     spark = frame.sparkSession
     path = folder or scratch_folder(spark)
-    frame.write.mode("errorifexists").parquet(path)
+    frame.write.mode("errorifexists").parquet(path, compression=compression)
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def store_counted(frame: DataFrame, *counters) -> tuple[DataFrame, dict[str, int]]:
+def store_counted(
+    frame: DataFrame, *counters, compression: str | None = None
+) -> tuple[DataFrame, dict[str, int]]:
     """``store``, and the values of ``counters`` (aggregates with a name) over the rows,
     gathered while they are written."""
     seen = Observation()
-    stored = store(frame.observe(seen, *counters))
+    stored = store(frame.observe(seen, *counters), compression=compression)
     return stored, dict(seen.get)

@@ -139,3 +139,44 @@ def test_bucketed_sides_are_not_shuffled(spark, stored):
         assert "Bucketed: true" in text
         assert text.count("Exchange hashpartitioning") == 1
         assert not any("Bucketed: true" in line for line in below_exchanges(text))
+
+
+def exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_new_versions_leaves_rows_in_place(spark):
+    """Only digests are shuffled; equal rows still give one version, also where texts could be
+    taken for each other or are null."""
+    layout = ", ".join(f"{n} string" for n in ("id", *schemas.PAYLOAD))
+    row = lambda id_, title, content: (id_, title, content, "a", "s", None, "4")
+    known = [row("1", "t", "c"), row("2", "", None), row("3", "ab", "c"), row(None, "t", "c")]
+    rows = [*known, row("2", None, ""), row("3", "a", "bc"), row("4", "t", "c"), row("4", "t", "c"), row("5", "t", "c")]
+    old, new = spark.createDataFrame(known, layout), spark.createDataFrame(rows, layout)
+    found = ledger.new_versions(new, old)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted([*rows[4:7], rows[8]], key=repr)
+    once = ledger.new_versions(new.filter("id <> '4'"), old)
+    assert exchanges(once) == 0 and once.count() == 3
+
+
+def test_a_merge_shuffles_each_side_once(spark):
+    rows = [review(str(k), title="t") for k in range(40)]
+    newest = spark.createDataFrame(rows, FIELDS)
+    kept = newest.select("id", *schemas.PAYLOAD).withColumn("odate", F.lit("20240101"))
+    kept = kept.unionByName(kept.withColumn("title", F.lit("s")).withColumn("odate", F.lit("20240102")))
+    new = spark.createDataFrame([review(str(k), title="u" if k % 2 else None) for k in range(30, 50)], FIELDS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = ledger.merge_with_ledger(new, newest, kept, 0, mark="is_new")
+        assert exchanges(merged) == 3
+        first = ledger.merge_with_ledger(new, newest.limit(0), kept.limit(0), 0)
+        assert exchanges(first) <= 2
+        found = {r["id"]: r for r in merged.collect()}
+        assert first.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(found) == 50 and sorted(found, key=int)[30:] == [i for i in sorted(found, key=int) if found[i]["is_new"]]
+    assert [e["title"] for e in found["31"]["historical_data"]] == ["t", "s"]
+    assert (found["30"]["title"], found["30"]["historical_data"], found["1"]["historical_data"]) == ("t", [], [])
+    small = ledger.merge_with_ledger(new, newest, kept, 10**9, mark="is_new")
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, found.values()))
