@@ -663,7 +663,8 @@ def _load_bronze(reviews: DataFrame, config: RunConfig) -> None:
             schemas.BRONZE,
         )
         rows.write.parquet(
-            f"{config.bronze}/{config.store}/docs_{segment}/odate={config.as_of}"
+            f"{config.bronze}/{config.store}/docs_{segment}/odate={config.as_of}",
+            compression=session.COMPACT,
         )
 
 

@@ -73,21 +73,25 @@ def curate(
     Of those only the newest snapshot and the ledger's entries of the batch's ids are read.
     ``only``, a stored table of ids, restricts all of it to those. Keys are tallied once;
     the mergeable rows, their ledger entries and the merged rows are written to the scratch
-    folder, as each is used several times. Counters are gathered while rows are written.
+    folder, as each is used several times; the first where there is a history to merge them
+    with, as they are the merged rows otherwise. Counters are gathered while rows are written.
     """
     known = lake.days(spark, config) if known is None else known
     newest = lake.snapshot(spark, config, known, known.before(config.as_of))
     ledger = lake.ledger(spark, config, known, config.as_of)
     stored_bytes = sizing.file_bytes(newest) if newest.inputFiles() else 0
+    has_history = known.before(config.as_of) is not None
     if only is not None:
         batch = joins.rows_with_keys(batch, only, schemas.KEY, stored=True)
         newest = joins.rows_with_keys(newest, only, schemas.KEY, stored=True)
     tally = session.store(batch.groupBy(schemas.KEY).agg(F.count(F.lit(1)).alias("n")))
-    repeated = tally.filter(F.col(schemas.KEY).isNotNull() & (F.col("n") > 1)).select(schemas.KEY)
-    standard = standardize_reviews(quality.unique_rows(batch, repeated=repeated))
-    new = session.store(standard.select(*schemas.REVIEW_FIELDS), compression=session.COMPACT)
-    session.size_shuffles(spark, SHUFFLED * (sizing.file_bytes(new) + stored_bytes))
-    ids = new.select(schemas.KEY)
+    named = tally.filter(F.col(schemas.KEY).isNotNull())
+    repeated = named.filter(F.col("n") > 1).select(schemas.KEY)
+    ids = named.filter(F.col("n") == 1).select(schemas.KEY)
+    new = standardize_reviews(quality.unique_rows(batch, repeated=repeated)).select(*schemas.REVIEW_FIELDS)
+    if has_history:
+        new = session.store(new, compression=session.COMPACT)
+        session.size_shuffles(spark, SHUFFLED * (sizing.file_bytes(new) + stored_bytes))
     entries = session.store(
         versions.known_versions(ledger, ids, config.broadcast_limit), compression=session.COMPACT
     )

@@ -46,7 +46,7 @@ def rebuild_ledger(spark: SparkSession, config: RunConfig) -> None:
     whole = history.read_history(spark, config.silver_path, "99999999")
     found = versions.versions_of(whole)
     if config.buckets is None:
-        partitions.write_partitioned(found, config.ledger_path)
+        partitions.write_partitioned(found, config.ledger_path, compression=LEDGER_COMPRESSION)
     else:
         buckets.write_load_dates(found, config.ledger_path, config.buckets)
 
@@ -85,11 +85,21 @@ def day_of(
     return parquet.empty(spark, schema) if found is None else found
 
 
+# The ledger's codec. Silver and quarantine keep the one that their readers know.
+LEDGER_COMPRESSION = "zstd"
+
+
 def _write(
-    frame: DataFrame, path: str, day: str, in_buckets: int | None, has_rows: bool | None = None
+    frame: DataFrame,
+    path: str,
+    day: str,
+    in_buckets: int | None,
+    has_rows: bool | None = None,
+    compression: str = partitions.COMPRESSION,
 ) -> None:
+    """Where the table is clustered, the session's codec is used instead."""
     if in_buckets is None:
-        partitions.write_load_date(frame, path, day, has_rows=has_rows)
+        partitions.write_load_date(frame, path, day, has_rows=has_rows, compression=compression)
     else:
         buckets.write_load_date(frame, path, day, in_buckets, has_rows=has_rows)
 
@@ -111,7 +121,8 @@ def publish(
     # on a new load date there is nothing to clear where no version is new
     is_new = known is None or day not in known.complete and day not in known.pending
     marks.add(spark, config.runs_path, [day], run, marks.BEGUN, config.buckets)
-    _write(new_versions, config.ledger_path, day, config.buckets, True if is_new else None)
+    has_versions = True if is_new else None
+    _write(new_versions, config.ledger_path, day, config.buckets, has_versions, LEDGER_COMPRESSION)
     partitions.write_load_date(invalid, config.quarantine_path, day, has_rows=has_invalid)
     _write(valid, config.silver_path, day, config.buckets, has_valid)
     marks.add(spark, config.runs_path, [day], run, marks.COMPLETE, config.buckets)

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from reviewloom import schemas
+from reviewloom import schemas, session
 from reviewloom.operators import ledger
 from reviewloom.plans import daily_run, lake
 from reviewloom.plans.config import RunConfig
@@ -164,3 +164,28 @@ def test_marks(spark, tmp_path):
     assert found == marks.Days({"20240101": None, "20240103": 4}, ["20240102"])
     assert found.before("20240103") == "20240101" and found.before("20240101") is None
     assert found.after("20240101") == ["20240103"]
+
+
+@pytest.mark.parametrize("in_buckets", [None, 2])
+def test_whole_rows_are_stored_aside_no_oftener_than_needed(spark, tmp_path, monkeypatch, in_buckets):
+    """A load date that is brought up to date is written straight over its old files, and the
+    first one has its merged rows stored only."""
+    stored, store = [], session.store
+
+    def watched(frame, *args, **options):
+        found = store(frame, *args, **options)
+        if "content" in frame.columns and not found.isEmpty():
+            stored.append(frame.columns)
+        return found
+
+    monkeypatch.setattr(session, "store", watched)
+    work = Lake(spark, tmp_path, buckets=in_buckets)
+    work.load("20240102", [review("1", title="u"), review("2", content=None), review(None)])
+    work.run("20240102")
+    assert len(stored) == 1
+    work.load("20240101", [review("1"), review("3")])
+    work.run("20240101")
+    # the first day's merged rows; the second day's batch, ledger entries and merged rows
+    assert len(stored) == 1 + 1 + 3
+    valid, invalid, entries = work.state("20240102")
+    assert [len(valid), len(invalid), len(entries)] == [2, 2, 3]
